@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from colophon.llm.exact_dedup import exact_dedup
+from colophon.llm.packing import pack
 from colophon.llm.simhash import simhash_components
 
 
@@ -37,10 +39,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens, with a checksum of each piece's ids."""
+    pieces = pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
+        "op5_packing": op5_packing,
     }
 
 
