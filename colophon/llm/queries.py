@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colophon.llm._common import bucket_of
 from colophon.llm.exact_dedup import exact_dedup
+from colophon.llm.language import identify
 from colophon.llm.packing import pack
+from colophon.llm.quality import quality
 from colophon.llm.simhash import simhash_components
 
 
@@ -52,11 +55,25 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    out = identify(_table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 3) != 1)
+    return out.select("doc_id", (bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, learned from three quarters of the labels."""
+    out = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
+    return out.select("doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
         "op5_packing": op5_packing,
+        "op7_language": op7_language,
+        "op10_quality": op10_quality,
     }
 
 
