@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from colophon.llm._common import bucket_of
 from colophon.llm.exact_dedup import exact_dedup
+from colophon.llm.html_text import extract
 from colophon.llm.language import identify
 from colophon.llm.packing import pack
 from colophon.llm.quality import quality
@@ -61,6 +62,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, learned from three quarters of the labels."""
     out = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), bucket_of(F.col("doc_id"), 4) != 2)
@@ -73,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op5_packing": op5_packing,
         "op7_language": op7_language,
+        "op8_html_text": op8_html_text,
         "op10_quality": op10_quality,
     }
 
