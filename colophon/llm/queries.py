@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.llm._common import bucket_of
+from colophon.llm.decontaminate import contaminated
 from colophon.llm.exact_dedup import exact_dedup
 from colophon.llm.html_text import extract
 from colophon.llm.language import identify
@@ -50,6 +51,23 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains, with the document."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL_OP3 = r"""
+WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+     i AS (SELECT DISTINCT item_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, len(w) - 3)]) AS s FROM w WHERE len(w) >= 5),
+     n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY 1),
+     v AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+     d AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[x:x+4], ' ') FOR x IN range(1, len(w) - 3)]) AS s FROM v WHERE len(w) >= 5),
+     c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shingles::INT AS n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM c JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens, with a checksum of each piece's ids."""
     pieces = pack(_table(spark, sf_dir, "documents"), tokenizer_path())
@@ -77,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
+        "op3_decontaminate": op3_decontaminate,
         "op5_packing": op5_packing,
         "op7_language": op7_language,
         "op8_html_text": op8_html_text,
@@ -87,4 +106,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": SQL_OP1,
+        "op3_decontaminate": SQL_OP3,
     }
