@@ -12,7 +12,9 @@ from colophon.llm.decontaminate import contaminated
 from colophon.llm.exact_dedup import exact_dedup
 from colophon.llm.html_text import extract
 from colophon.llm.language import identify
+from colophon.llm.line_dedup import line_dedup
 from colophon.llm.packing import pack
+from colophon.llm.privacy import pseudonymise
 from colophon.llm.quality import quality
 from colophon.llm.simhash import simhash_components
 
@@ -44,6 +46,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms of the same format."""
+    return pseudonymise(_table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template an earlier document has."""
+    return line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where the installed package of public tokenizers keeps a file."""
     import public_tokenizers
@@ -96,9 +108,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_simhash": op2_simhash,
         "op3_decontaminate": op3_decontaminate,
+        "op4_privacy": op4_privacy,
         "op5_packing": op5_packing,
         "op7_language": op7_language,
         "op8_html_text": op8_html_text,
+        "op9_line_dedup": op9_line_dedup,
         "op10_quality": op10_quality,
     }
 
