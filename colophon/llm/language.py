@@ -133,7 +133,9 @@ def identify(docs: DataFrame, training: Column | None = None, sample: int = SAMP
     """
     keep = keep or ["doc_id"]
     model = fit(docs if training is None else docs.where(training), sample)
-    data = docs.select(*keep, F.col("text").alias("_text"))
+    own = "text" if "text" in keep else "_text"
+    data = docs.select(*keep, *([] if own == "text" else [F.col("text").alias(own)]))
+    kept = len(keep)
     held = docs.sparkSession.sparkContext.broadcast(model)  # centroids x DIMS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +143,7 @@ def identify(docs: DataFrame, training: Column | None = None, sample: int = SAMP
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                texts = batch.column("_text").to_pylist()
+                texts = batch.column(own).to_pylist()
                 lang, score, out = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 at = [k for k, t in enumerate(texts) if t and LETTER.search(t)] if m else []
                 if at:
@@ -149,8 +151,8 @@ def identify(docs: DataFrame, training: Column | None = None, sample: int = SAMP
                     for k, name in zip(at, names, strict=True):
                         lang[k] = name
                     score[at], out[at] = s, far
-                cols = [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score), pa.array(out)]
-                yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
+                cols = [*batch.columns[:kept], pa.array(lang, pa.string()), pa.array(score), pa.array(out)]
+                yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score", "rejected"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[:-1])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields[:kept])
     return data.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")

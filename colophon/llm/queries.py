@@ -82,7 +82,11 @@ FROM c JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens, with a checksum of each piece's ids."""
-    pieces = pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return digest(pack(_table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+def digest(pieces: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum for their ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
