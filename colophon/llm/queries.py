@@ -13,6 +13,7 @@ from colophon.llm.exact_dedup import exact_dedup
 from colophon.llm.html_text import extract
 from colophon.llm.language import identify
 from colophon.llm.line_dedup import line_dedup
+from colophon.llm.lm_score import lm_scores
 from colophon.llm.packing import pack
 from colophon.llm.privacy import pseudonymise
 from colophon.llm.quality import quality
@@ -90,6 +91,11 @@ def digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document by a language model learned from six sevenths of them."""
+    return lm_scores(_table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
     out = identify(_table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 3) != 1)
@@ -114,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": op3_decontaminate,
         "op4_privacy": op4_privacy,
         "op5_packing": op5_packing,
+        "op6_lm_score": op6_lm_score,
         "op7_language": op7_language,
         "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
