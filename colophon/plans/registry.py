@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from colophon.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,26 +23,20 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query(
-    "model_concentration",
-    """
-    WITH m AS (SELECT l_suppkey AS model, count(*) AS cells FROM lineitem GROUP BY 1),
-         t AS (SELECT sum(cells) AS total FROM m)
-    SELECT model, cells, 100.0::DOUBLE * cells / total AS share_pct
-    FROM m, t ORDER BY cells DESC, model LIMIT 9
-    """,
-)
-def model_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AG-09: the nine models with most cells, ties by id, with their share of all cells."""
-    per_model = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("model")).agg(F.count("*").alias("cells"))
-    total = per_model.agg(F.sum("cells").alias("total"))
-    top = per_model.orderBy(F.desc("cells"), "model").limit(9)
-    return top.crossJoin(total).select("model", "cells", (F.lit(100.0) * F.col("cells") / F.col("total")).alias("share_pct"))
+#: Modules of this package that register queries.
+MODULES = ("stats",)
+
+
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"colophon.plans.{name}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(ORACLES)
