@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 #: Modules of this package that register queries.
-MODULES = ("stats",)
+MODULES = ("stats", "text")
 
 
 def _load() -> None:
