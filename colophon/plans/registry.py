@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 #: Modules of this package that register queries.
-MODULES = ("stats", "text", "canon", "pool", "geo")
+MODULES = ("stats", "text", "canon", "pool", "geo", "gates", "sources")
 
 
 def _load() -> None:
