@@ -68,7 +68,7 @@ def flatten_html(html: Column) -> Column:
         s = F.regexp_replace(s, pattern, put)
     for a, b in _REFS:
         s = F.replace(s, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(F.regexp_replace(s, r"[ \t]+", " "), r" ?\n[ \n]*", "\n"))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"[ \t]+", " "), r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
 
 def flatten_html_sql(html: str) -> str:
@@ -79,7 +79,7 @@ def flatten_html_sql(html: str) -> str:
         s = f"regexp_replace({s}, '{pattern}', {put}, 'g')"
     for a, b in _REFS:
         s = f"replace({s}, '{a.replace(chr(39), chr(39) * 2)}', '{b.replace(chr(39), chr(39) * 2)}')"
-    return rf"trim(regexp_replace(regexp_replace({s}, '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'))"
+    return rf"regexp_replace(regexp_replace(regexp_replace({s}, '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')"
 
 
 def good_enough(html: Column, text: Column, raw: int = 3000, flat: int = 4000) -> Column:
