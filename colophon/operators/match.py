@@ -17,22 +17,30 @@ def prepared(df: DataFrame, title: str, authors: str, prefix: str) -> DataFrame:
     return df.select("*", *[c.alias(f"{prefix}{k}") for k, c in made.items()])
 
 
-def decision(a: str = "a_", b: str = "b_") -> Column:
-    """FN-10: struct(kind, score) of two prepared sides."""
+def measured(pairs: DataFrame, a: str = "a_", b: str = "b_") -> DataFrame:
+    """Pairs of two prepared sides with the measures of the tree, each computed once."""
     c = lambda s: (F.col(f"{a}{s}"), F.col(f"{b}{s}"))
-    (an, bn), (at, bt), (ah, bh), (asur, bsur), (af, bf) = (c(s) for s in ("norm", "tokens", "head", "sur", "full"))
-    cont, jac = T.containment(at, bt), T.jaccard(at, bt)
+    (at, bt), (asur, bsur), (af, bf) = (c(s) for s in ("tokens", "sur", "full"))
+    return pairs.withColumns({
+        "_cont": T.containment(at, bt), "_jac": T.jaccard(at, bt), "_both": (F.size(af) > 0) & (F.size(bf) > 0), "_fo": F.size(F.array_intersect(af, bf)), "_ff": T.containment(af, bf),
+        "_so": F.size(F.array_intersect(asur, bsur)), "_sf": T.containment(asur, bsur), "_few": (F.size(at) < 3) | (F.size(bt) < 3),
+        "_nobody": ((F.size(asur) == 0) & (F.size(af) == 0)) | ((F.size(bsur) == 0) & (F.size(bf) == 0)), "_small": F.size(asur) <= 3,
+    })
+
+
+def decision(a: str = "a_", b: str = "b_") -> Column:
+    """FN-10: struct(kind, score) of measured pairs."""
+    cont, jac = F.col("_cont"), F.col("_jac")
     sim = F.greatest(cont, jac)
-    both = (F.size(af) > 0) & (F.size(bf) > 0)
-    fo, ff = F.when(both, F.size(F.array_intersect(af, bf))).otherwise(0), F.when(both, T.containment(af, bf)).otherwise(0.0)
-    so, sf = F.size(F.array_intersect(asur, bsur)), T.containment(asur, bsur)
-    strong = F.when(both, ((fo >= 2) & (ff >= 0.5)) | (ff >= 0.75)).otherwise(((so >= 3) & (sf >= 0.5)) | (sf >= 0.75) | ((so >= 2) & (F.size(asur) <= 3)))
-    nobody = ((F.size(asur) == 0) & (F.size(af) == 0)) | ((F.size(bsur) == 0) & (F.size(bf) == 0))
+    fo, ff = F.when(F.col("_both"), F.col("_fo")).otherwise(0), F.when(F.col("_both"), F.col("_ff")).otherwise(0.0)
+    so, sf = F.col("_so"), F.col("_sf")
+    strong = F.when(F.col("_both"), ((fo >= 2) & (ff >= 0.5)) | (ff >= 0.75)).otherwise(((so >= 3) & (sf >= 0.5)) | (sf >= 0.75) | ((so >= 2) & F.col("_small")))
+    an, bn, ah, bh = (F.col(x) for x in (f"{a}norm", f"{b}norm", f"{a}head", f"{b}head"))
     out = lambda kind, score: F.struct(F.lit(kind).cast("string").alias("kind"), score.cast("double").alias("score"))
     return (
         F.when((an != "") & (an == bn), out("exact", F.lit(1.0)))
-        .when((F.size(at) < 3) | (F.size(bt) < 3), out(None, F.lit(0.0)))
-        .when(nobody, F.when((cont >= 0.9) & (jac >= 0.75), out("fuzzy", sim)).otherwise(out(None, sim)))
+        .when(F.col("_few"), out(None, F.lit(0.0)))
+        .when(F.col("_nobody"), F.when((cont >= 0.9) & (jac >= 0.75), out("fuzzy", sim)).otherwise(out(None, sim)))
         .when(~strong, out(None, sim))
         .when((ah != "") & (ah == bh) & (cont >= 0.5), out("fuzzy", F.greatest(sim, F.lit(0.8))))
         .when((cont >= 0.75) & (jac >= 0.6), out("fuzzy", sim))
@@ -54,7 +62,7 @@ def best_matches(catalogue: DataFrame, records: DataFrame) -> DataFrame:
     exact = same.select("id", "rec", F.lit("exact").alias("kind"), F.lit(1.0).alias("score"))
     left = a.join(same.select("id"), "id", "left_anti")
     pairs = left.select("id", F.explode("a_full").alias("k")).join(b.select("rec", F.explode("b_full").alias("k")), "k").select("id", "rec").distinct()
-    scored = pairs.join(left, "id").join(b, "rec").select("id", "rec", decision().alias("m"))
+    scored = measured(pairs.join(left, "id").join(b, "rec")).select("id", "rec", decision().alias("m"))
     scored = scored.where("m.kind is not null").select("id", "rec", "m.kind", "m.score")
     rank = F.create_map(*[F.lit(x) for kv in RANK.items() for x in kv])[F.col("kind")]
     w = Window.partitionBy("id").orderBy(rank.desc(), F.desc("score"), "rec")
