@@ -1,8 +1,9 @@
-"""Small graph operators: merge chains and reachability, by recursive queries that Spark runs as joins."""
+"""Small graph operators: merge chains by a recursive query, reachability within reviewed groups by a fold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def resolve_chains(nodes: DataFrame) -> DataFrame:
@@ -28,18 +29,18 @@ def resolve_chains(nodes: DataFrame) -> DataFrame:
 
 
 def reached(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """GR-03: group, n_members, n_reached: members (group, member) that edges (group, a, b), either way, connect to the least one."""
-    spark = nodes.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE both AS (SELECT `group`, a, b FROM {edges} UNION SELECT `group`, b, a FROM {edges}),
-        start AS (SELECT `group`, min(member) AS member, count(*) AS n_members FROM {nodes} GROUP BY `group`),
-        walk(`group`, member, path) AS (
-          SELECT `group`, member, array(member) FROM start
-          UNION ALL
-          SELECT w.`group`, e.b, array_append(w.path, e.b) FROM walk w JOIN both e ON e.`group` = w.`group` AND e.a = w.member AND NOT array_contains(w.path, e.b))
-        SELECT s.`group`, s.n_members, r.n_reached FROM start s
-        JOIN (SELECT `group`, count(DISTINCT member) AS n_reached FROM walk GROUP BY `group`) r ON r.`group` = s.`group`
-        """,
-        nodes=nodes, edges=edges,
-    )
+    """GR-03: group, n_members, n_reached: members (group, member) that edges (group, a, b), either way, connect to the least one.
+
+    A group's members are the few that a review has listed, so its closure is a fold in its own row, of as many steps as members.
+    """
+    members = nodes.groupBy("group").agg(F.array_sort(F.collect_set("member")).alias("m"))
+    links = edges.groupBy("group").agg(F.collect_list(F.struct("a", "b")).alias("e"))
+    rows = members.join(links, "group", "left")
+
+    def step(seen: Column, _: Column) -> Column:
+        one_way = lambda x, y: F.transform(F.filter("e", lambda e: F.array_contains(seen, e[x])), lambda e: e[y])
+        return F.array_distinct(F.concat(seen, one_way("a", "b"), one_way("b", "a")))
+
+    start = F.slice("m", 1, 1)
+    closed = F.when(F.col("e").isNull(), start).otherwise(F.aggregate(F.sequence(F.lit(1), F.size("m")), start, step))
+    return rows.select("group", F.size("m").cast("long").alias("n_members"), F.size(closed).cast("long").alias("n_reached"))
