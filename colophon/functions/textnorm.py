@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -124,6 +126,16 @@ def slug(s: Column, most: int = 48) -> Column:
     return F.substring(F.regexp_replace(F.regexp_replace(F.lower(or_empty(s)), "[^a-z0-9]+", "-"), "^-+|-+$", ""), 1, most)
 
 
+#: Latin letters with marks, by Unicode's compatibility decomposition, and their plain letters.
+_MARKED = [(c, unicodedata.normalize("NFKD", c)[0]) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.normalize("NFKD", c)[0].isascii()]
+
+
+def ascii_fold(s: Column) -> Column:
+    """FN-16: marked Latin letters as plain ones, combining marks dropped."""
+    folded = F.translate(or_empty(s), "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED))
+    return F.regexp_replace(folded, r"\p{M}+", "")
+
+
 def key(s: Column) -> Column:
     """FN-18."""
     return F.regexp_replace(F.lower(or_empty(s)), "[^a-z0-9]", "")

@@ -53,6 +53,12 @@ def keys_and_slugs(spark: SparkSession, d: str) -> DataFrame:
     return papers(spark, d).select("id", T.key(t).alias("key"), T.venue_key(t).alias("venue_key"), T.slug(t).alias("slug"), escaped.alias("escaped"))
 
 
+@query("ascii_slugs", with_views(PAPERS) + r""" SELECT id, left(regexp_replace(regexp_replace(strip_accents(lower(title)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 48) AS slug FROM v_papers""")
+def ascii_slugs(spark: SparkSession, d: str) -> DataFrame:
+    """FN-16: slugs of titles without marks."""
+    return papers(spark, d).select("id", T.slug(T.ascii_fold(F.lower("title"))).alias("slug"))
+
+
 _SLUGS = r"s AS (SELECT id, left(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 24) AS base FROM v_papers)"
 
 
