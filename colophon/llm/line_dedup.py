@@ -25,8 +25,17 @@ def masked(line: Column) -> Column:
     return F.regexp_replace(F.trim(F.regexp_replace(line, r"[\s]+", " ")), r"[^ ]*\d[^ ]*", "<*>")
 
 
+def masked_lines(text: Column) -> Column:
+    """The masked lines of a text; patterns are applied to texts that have something to mask or squeeze, most don't."""
+    lines = F.split(text, "\n", -1)
+    as_is = ~text.rlike("[0-9]") & ~text.startswith(" ") & ~text.endswith(" ")
+    for s in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"):
+        as_is = as_is & ~F.contains(text, F.lit(s))
+    return F.when(as_is, lines).otherwise(F.transform(lines, masked))
+
+
 def _lines(docs: DataFrame, tokens: int, depth: int) -> DataFrame:
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line")).select("doc_id", masked(F.col("line")).alias("m"))
+    lines = docs.select("doc_id", F.explode(masked_lines(F.col("text"))).alias("m"))
     lines = lines.withColumn("n", F.length("m") - F.length(F.replace("m", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= tokens)
     leaf = F.md5(F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("m", " ", depth)))
     return lines.select("doc_id", F.unhex(F.md5("m")).alias("line"), F.unhex(leaf).alias("leaf"), "m")
@@ -66,9 +75,11 @@ def line_dedup(docs: DataFrame, tokens: int = TOKENS, depth: int = DEPTH, alike:
     drops = named.join(again, "template").where(~F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "line")
     drops = materialise(drops.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_drop")), "drops")
 
-    data = docs.select(*keep, *([] if "doc_id" in keep else ["doc_id"]), F.split("text", "\n", -1).alias("_lines"))
-    out = data.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    left = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", lambda x: ~F.array_contains(F.col("_drop"), F.unhex(F.md5(masked(x))))))
-    out = out.withColumn("_left", left)
+    data = docs.select(*keep, *([] if "doc_id" in keep else ["doc_id"]), F.col("text").alias("_text"))
+    out = data.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split("_text", "\n", -1))
+    keys = F.when(F.col("_drop").isNotNull(), F.transform(masked_lines(F.col("_text")), lambda m: F.unhex(F.md5(m))))
+    out = out.withColumn("_keys", keys)
+    left = F.filter("_lines", lambda x, i: ~F.array_contains(F.col("_drop"), F.get(F.col("_keys"), i)))
+    out = out.withColumn("_left", F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(left))
     n = F.coalesce(F.size("_lines"), F.lit(0))
-    return out.select(*keep, F.array_join("_left", "\n").alias("text"), F.greatest(n, F.lit(0)).alias("n_lines"), F.greatest(n - F.size("_left"), F.lit(0)).alias("n_dropped"))
+    return out.select(*keep, F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join("_left", "\n")).alias("text"), F.greatest(n, F.lit(0)).alias("n_lines"), F.greatest(n - F.size("_left"), F.lit(0)).alias("n_dropped"))
