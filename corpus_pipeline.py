@@ -15,8 +15,8 @@ from colophon.llm._common import bucket_of, materialise, small
 from colophon.llm.decontaminate import ROWS, contaminated
 from colophon.llm.language import identify
 from colophon.llm.line_dedup import line_dedup
+from colophon.llm.near_copies import near_copies
 from colophon.llm.packing import pack
-from colophon.llm.simhash import simhash_components
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the least id; null ids, having no component of their own, stay."""
-    groups = simhash_components(docs)
+    """Of each component of near-copies (five-word similarity of 0.8 or more) the document with the least id; null ids stay."""
+    groups = near_copies(docs)
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
