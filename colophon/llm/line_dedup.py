@@ -20,9 +20,14 @@ from colophon.llm._common import materialise, small
 TOKENS, DEPTH, ALIKE, ROWS = 5, 3, 0.8, 1_000_000
 
 
+def _count(m: Column) -> Column:
+    return F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit(""))) + 1
+
+
 def masked(line: Column) -> Column:
-    """A line with single spaces and its variable fields (tokens with a digit) replaced."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, r"[\s]+", " ")), r"[^ ]*\d[^ ]*", "<*>")
+    """A line with single spaces and its variable fields (tokens with a digit) replaced; of fewer than TOKENS tokens, as it is."""
+    squeezed = F.trim(F.regexp_replace(line, r"[\s]+", " "))
+    return F.transform(F.array(squeezed), lambda x: F.when(_count(x) < TOKENS, x).otherwise(F.regexp_replace(x, r"[^ ]*\d[^ ]*", "<*>")))[0]
 
 
 def masked_lines(text: Column) -> Column:
@@ -36,15 +41,17 @@ def masked_lines(text: Column) -> Column:
 
 def _lines(docs: DataFrame, tokens: int, depth: int) -> DataFrame:
     lines = docs.select("doc_id", F.explode(masked_lines(F.col("text"))).alias("m"))
-    lines = lines.withColumn("n", F.length("m") - F.length(F.replace("m", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= tokens)
-    leaf = F.md5(F.concat_ws(" ", F.col("n").cast("string"), F.substring_index("m", " ", depth)))
+    lines = lines.withColumn("n", _count(F.col("m"))).where((F.col("n") >= tokens) & (F.col("m") != ""))
+    # a short line is a leaf of its own, and so is only equal to itself
+    leaf = F.md5(F.concat_ws(" ", F.col("n").cast("string"), F.when(F.col("n") < TOKENS, F.col("m")).otherwise(F.substring_index("m", " ", depth))))
     return lines.select("doc_id", F.unhex(F.md5("m")).alias("line"), F.unhex(leaf).alias("leaf"), "m")
 
 
 def line_dedup(docs: DataFrame, tokens: int = TOKENS, depth: int = DEPTH, alike: float = ALIKE, keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` of docs (doc_id, if not given), with text (without dropped lines), n_lines and n_dropped, for each row.
 
-    Lines end at \\n. Lines of fewer than `tokens` tokens stay. Of the documents with a template, that with the least doc_id
+    Lines end at \\n. Empty lines and lines of fewer than `tokens` tokens stay; those of fewer than TOKENS tokens,
+    as are most in scripts without spaces, recur only if they are equal. Of the documents with a template, that with the least doc_id
     keeps its lines (also those that it repeats itself); rows with the same id are one document, and a null id comes last.
     A null text stays null (no lines). A text of which all lines are dropped becomes empty. Repeated rows come out as often as
     they go in; an empty table gives no rows. Texts are read whole.

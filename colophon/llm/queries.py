@@ -54,7 +54,7 @@ def op4_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose template an earlier document has."""
-    return line_dedup(_table(spark, sf_dir, "documents"))
+    return line_dedup(_table(spark, sf_dir, "documents"), tokens=1)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
