@@ -24,7 +24,7 @@ PAGES, SEED, ROUNDS, DIMS = 600, 11, 6, 1 << 12
 # Element kinds of the HTML standard.
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("script style noscript template title head textarea select option button svg math iframe object canvas audio video datalist".split())
+UNSEEN = set("script style noscript template title head textarea select option button svg annotation annotation-xml iframe canvas audio video datalist".split())
 RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
 CLOSES_P = BLOCK - set("head title option select textarea tbody thead tfoot tr td th caption body html noscript legend".split())
 #: An open tag of the second kind ends at a new tag of the first.
@@ -32,7 +32,7 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
 _WORD = re.compile(r"[a-z]+")
 _REF = re.compile(r"&(?:#|[a-zA-Z])")
 _SPACE = re.compile(r"\s+")
@@ -125,7 +125,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         marks: list[str] = []
         hidden = False
         for a in _ATTR.finditer(m[3]) if m[3] else ():
-            name, value = a[1].lower(), (a[2] or "").strip("\"'").lower()
+            name, value = (a[1] or "").lower(), (a[2] or "").strip("\"'").lower()
             if name in ("class", "id", "role", "itemprop"):
                 marks += _WORD.findall(value)
             elif name == "hidden" and value in ("", "hidden") or name == "aria-hidden" and value == "true":
