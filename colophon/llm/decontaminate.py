@@ -5,7 +5,7 @@ of a hash (a bottom-k MinHash); k depends on the partition and is more than the
 that contains enough of an item's shingles shares a value with its sketch, however long the document is: the search loses
 nothing. Documents that share enough sketch values are then compared by the shingles' texts.
 
-Documents are not shuffled for the search while the sketches are few enough to be broadcast (they are counted); beyond that
+Documents are not shuffled for the search while the sketches are small enough to be broadcast (their bytes are counted); beyond that
 they are joined by hash.
 """
 
@@ -14,11 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm._common import materialise, small
+from colophon.llm._common import BROADCAST, materialise, small
 
 SIZE, CONTAINED = 5, 0.8
-#: Rows of sketches, of candidate ids, and of item shingles that may be broadcast.
-ROWS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -40,7 +38,7 @@ def _spelled(size: int) -> Column:
     return F.array_distinct(_shingles(size, "concat_ws(' ', {})").cast("array<string>"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, contained: float = CONTAINED, rows: int = ROWS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, contained: float = CONTAINED, most: int = BROADCAST) -> DataFrame:
     """Pairs of a document (doc_id, text) and a benchmark item (item_id, text) that it contains.
 
     doc_id, item_id, n_shingles (distinct shingles of the item), n_shared (of these, in the document), containment (their
@@ -53,15 +51,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, contai
     items = materialise(items, "items")
     found = None
     for k in sorted(r["k"] for r in items.select("k").distinct().collect()):  # at most `size` rows
-        pairs = _search(docs, items.where(F.col("k") == k), k, contained, rows)
+        pairs = _search(docs, items.where(F.col("k") == k), k, contained, most)
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
-        found = _search(docs, items, size, contained, rows)
+        found = _search(docs, items, size, contained, most)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_shingles")).alias("m"))
     return best.select("doc_id", "item_id", "m.n_shingles", "m.n_shared", "m.containment")
 
 
-def _search(docs: DataFrame, items: DataFrame, k: int, contained: float, rows: int) -> DataFrame:
+def _search(docs: DataFrame, items: DataFrame, k: int, contained: float, most: int) -> DataFrame:
     # sketches: of each size partition (up to 2**p shingles), one more value than a match may lack
     own = items.select("item_id", _hashed(k).alias("hs"), F.md5(F.concat_ws(" ", "w")).alias("version")).withColumn("n", F.size("hs"))
     upper = F.expr("cast(pow(2, ceil(log2(n))) as int)")
@@ -70,17 +68,17 @@ def _search(docs: DataFrame, items: DataFrame, k: int, contained: float, rows: i
     sketch = own.withColumn("sketch", F.slice(ordered, 1, may_lack(upper) + 1))
     need = F.greatest(F.lit(1), F.size("sketch") - may_lack(F.col("n")))
     sketch = sketch.select(F.xxhash64("item_id", "version").alias("item"), need.alias("need"), F.explode("sketch").alias("h"))
-    sketch = small(materialise(sketch, f"sketch{k}"), rows)
+    sketch = small(materialise(sketch, f"sketch{k}"), most)
 
     texts = docs.select("doc_id", words_of(F.col("text")).alias("w"))
     hits = texts.select("doc_id", F.explode(_hashed(k)).alias("h")).join(sketch, "h")
     candidates = hits.groupBy("doc_id", "item").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need")
-    candidates = small(materialise(candidates.select(F.col("doc_id").alias("_id")).distinct(), f"candidates{k}"), rows)
+    candidates = small(materialise(candidates.select(F.col("doc_id").alias("_id")).distinct(), f"candidates{k}"), most)
 
     near = docs.join(candidates, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     near = near.select("doc_id", F.md5("text").alias("row"), words_of(F.col("text")).alias("w")).select("doc_id", "row", F.explode(_spelled(k)).alias("s"))
     spelled = items.select("item_id", F.md5(F.concat_ws(" ", "w")).alias("version"), _spelled(k).alias("ss")).withColumn("n_shingles", F.size("ss"))
-    spelled = small(materialise(spelled.select("item_id", "version", "n_shingles", F.explode("ss").alias("s")).distinct(), f"spelled{k}"), rows)
+    spelled = small(materialise(spelled.select("item_id", "version", "n_shingles", F.explode("ss").alias("s")).distinct(), f"spelled{k}"), most)
     shared = near.join(spelled, "s").select("doc_id", "row", "item_id", "version", "n_shingles", "s").distinct()
     counted = shared.groupBy("doc_id", "row", "item_id", "version", "n_shingles").agg(F.count("*").alias("n_shared"))
     counted = counted.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))

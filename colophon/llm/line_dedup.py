@@ -1,12 +1,14 @@
 """Repeated lines by a log-template tree of fixed depth.
 
-A line is parsed by its number of tokens and its leading tokens to a leaf; tokens with digits are variable fields. In leaves that
-hold different lines of several documents, each position becomes its most common token, or a variable field if no token has half
-of the rows; lines that agree with this in enough positions share the leaf's template, others are templates of their own.
-Templates that occur in several documents are dropped, but for the document with the least id.
-
-Rows of lines carry hashes of 128 bits, not text. Text is shuffled once, to drop lines from their documents; only lines of mixed
-leaves are read again for their tokens.
+A line is parsed by its number of tokens and its leading tokens to a leaf; tokens with digits are variable fields. A leaf with
+different lines gets its templates in rounds. In each round, each position of a group of lines (at first the leaf) is a constant
+if more than half of the group's distinct lines have the same token there; lines that agree with the constants in enough positions
+share a template and leave. What is left is split by its tokens at the position of the most frequent token that isn't a constant,
+so that unrelated lines of the leaf part, and goes to the next round; a line that ends alone is a template of its own. Templates
+that occur in several documents are dropped, but for the document with the least id.
+
+Lines are read once. Their rows carry hashes of 128 bits; the text of a line is read again only where its leaf has different
+lines. What is dropped comes back to its text as line positions.
 """
 
 from __future__ import annotations
@@ -14,79 +16,128 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm._common import materialise, small
-
-#: Least tokens of a line, leading tokens of a leaf, share of positions that must agree, rows that may be broadcast.
-TOKENS, DEPTH, ALIKE, ROWS = 5, 3, 0.8, 1_000_000
+from colophon.llm._common import SPACES, discard, materialise, small
 
+#: Leading tokens of a leaf, share of positions that must agree.
+DEPTH, ALIKE = 3, 0.8
+#: Whether a span of documents (least id, greatest, whether a null id is among them) has several.
+MANY = "(first <> last or (first is not null and nulls))"
 
-def _count(m: Column) -> Column:
-    return F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit(""))) + 1
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.transform(F.array(value), body)[0]
 
-def masked(line: Column) -> Column:
-    """A line with single spaces and its variable fields (tokens with a digit) replaced; of fewer than TOKENS tokens, as it is."""
-    squeezed = F.trim(F.regexp_replace(line, r"[\s]+", " "))
-    return F.transform(F.array(squeezed), lambda x: F.when(_count(x) < TOKENS, x).otherwise(F.regexp_replace(x, r"[^ ]*\d[^ ]*", "<*>")))[0]
 
+def _tokens(m: Column) -> Column:
+    return F.octet_length(m) - F.octet_length(F.replace(m, F.lit(" "), F.lit(""))) + 1
 
-def masked_lines(text: Column) -> Column:
-    """The masked lines of a text; patterns are applied to texts that have something to mask or squeeze, most don't."""
-    lines = F.split(text, "\n", -1)
-    as_is = ~text.rlike("[0-9]") & ~text.startswith(" ") & ~text.endswith(" ")
-    for s in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"):
-        as_is = as_is & ~F.contains(text, F.lit(s))
-    return F.when(as_is, lines).otherwise(F.transform(lines, masked))
 
+def _may_differ(n: Column, alike: float) -> Column:
+    """Whether any of n tokens may differ."""
+    return F.ceil(n * F.lit(alike) - 1e-9) < n
 
-def _lines(docs: DataFrame, tokens: int, depth: int) -> DataFrame:
-    lines = docs.select("doc_id", F.explode(masked_lines(F.col("text"))).alias("m"))
-    lines = lines.withColumn("n", _count(F.col("m"))).where((F.col("n") >= tokens) & (F.col("m") != ""))
-    # a short line is a leaf of its own, and so is only equal to itself
-    leaf = F.md5(F.concat_ws(" ", F.col("n").cast("string"), F.when(F.col("n") < TOKENS, F.col("m")).otherwise(F.substring_index("m", " ", depth))))
-    return lines.select("doc_id", F.unhex(F.md5("m")).alias("line"), F.unhex(leaf).alias("leaf"), "m")
 
-
-def line_dedup(docs: DataFrame, tokens: int = TOKENS, depth: int = DEPTH, alike: float = ALIKE, keep: list[str] | None = None) -> DataFrame:
+def masked(line: Column, alike: float = ALIKE) -> Column:
+    """A line with single spaces and, if any of its tokens may differ, its variable fields (tokens with a digit) replaced."""
+    squeezed = F.trim(F.regexp_replace(line, r"[\s]+", " "))
+    return F.when(_may_differ(_tokens(squeezed), alike), F.regexp_replace(squeezed, r"(?<![^ ])[^ \d]*+\d[^ ]*+", "<*>")).otherwise(squeezed)
+
+
+def _masked(line: Column, alike: float) -> Column:
+    """`masked`, where there is anything to mask or squeeze."""
+    odd = line.rlike("[0-9]") | line.rlike(r"[\t-\r]") | F.contains(line, F.lit("  ")) | line.startswith(" ") | line.endswith(" ")
+    return F.when(odd, masked(line, alike)).otherwise(line)
+
+
+def _lines(docs: DataFrame, depth: int, alike: float) -> DataFrame:
+    """A row for each line that isn't empty: doc_id, k (a hash of its text), pos, hashes of the line and of its leaf, n tokens, m."""
+    texts = docs.select("doc_id", F.xxhash64("text").alias("k"), F.split("text", "\n", -1).alias("lines"))  # once for each text
+    lines = texts.select("doc_id", "k", F.posexplode("lines").alias("pos", "line"))
+    lines = lines.where(F.trim(F.col("line"), F.lit("".join(SPACES))) != "")
+    lines = lines.select("doc_id", "k", "pos", _masked(F.col("line"), alike).alias("m"))
+    lines = lines.withColumn("n", _tokens(F.col("m"))).withColumn("head", F.substring_index("m", " ", depth))
+    pair = lambda *x: (F.xxhash64(*x), F.xxhash64(F.lit(7), *x))
+    (l1, l2), (g1, g2) = pair("m"), pair("n", "head")
+    return lines.select("doc_id", "k", "pos", l1.alias("l1"), l2.alias("l2"), g1.alias("g1"), g2.alias("g2"), "n", "m")
+
+
+def _span() -> list[Column]:
+    return [F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max(F.col("doc_id").isNull()).alias("nulls")]
+
+
+def _spans() -> list[Column]:
+    return [F.min("first").alias("first"), F.max("last").alias("last"), F.max("nulls").alias("nulls")]
+
+
+def _templates(lines: DataFrame, alike: float) -> DataFrame:
+    """l1, l2, t1, t2 (the template) of the distinct lines (l1, l2, g1, g2, w: hashes of tokens with their positions) that have a template in their group."""
+    out, rest, turn = None, lines, 0
+    while True:
+        # groups of several lines; after the first round most are alone
+        sizes = materialise(rest.groupBy("g1", "g2").agg(F.count("*").alias("lines")).where("lines > 1"), f"sizes{turn}")
+        if sizes.isEmpty():
+            return out if out is not None else rest.select("l1", "l2", F.lit(0).cast("long").alias("t1"), F.lit(0).cast("long").alias("t2")).limit(0)
+        rest = rest.join(small(sizes), ["g1", "g2"])
+        counts = rest.select("g1", "g2", "lines", F.posexplode("w").alias("pos", "token")).groupBy("g1", "g2", "lines", "pos", "token").agg(F.count("*").alias("c"))
+        # of each group: its constants, and the position that splits it (packed after the count, the least of equals)
+        usual = F.collect_list(F.when(F.col("c") * 2 > F.col("lines"), F.col("token")))
+        split = F.max(F.when(F.col("c") * 2 <= F.col("lines"), F.shiftleft("c", 31) + F.lit(2**31 - 1) - F.col("pos")))
+        groups = counts.groupBy("g1", "g2").agg(usual.alias("usual"), (F.lit(2**31 - 1) - split.bitwiseAND(F.lit(2**31 - 1))).cast("int").alias("at"))
+        groups = materialise(groups, f"groups{turn}")
+        found = rest.join(groups, ["g1", "g2"])
+        same = F.size(F.array_intersect("w", "usual"))
+        found = materialise(found.select("l1", "l2", "g1", "g2", "w", "at", (same >= F.size("w") * F.lit(alike) - 1e-9).alias("joins")), f"round{turn}")
+        joined = found.where("joins").select("l1", "l2", F.xxhash64("g1", "g2").alias("t1"), F.xxhash64(F.lit(7), "g1", "g2").alias("t2"))
+        out = joined if out is None else out.unionByName(joined)
+        side = ["g1", "g2", "at", F.get("w", F.col("at"))]
+        rest = found.where("not joins").select("l1", "l2", F.xxhash64(*side).alias("g1"), F.xxhash64(F.lit(7), *side).alias("g2"), "w")
+        turn += 1
+
+
+def line_dedup(docs: DataFrame, depth: int = DEPTH, alike: float = ALIKE, keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` of docs (doc_id, if not given), with text (without dropped lines), n_lines and n_dropped, for each row.
 
-    Lines end at \\n. Empty lines and lines of fewer than `tokens` tokens stay; those of fewer than TOKENS tokens,
-    as are most in scripts without spaces, recur only if they are equal. Of the documents with a template, that with the least doc_id
-    keeps its lines (also those that it repeats itself); rows with the same id are one document, and a null id comes last.
-    A null text stays null (no lines). A text of which all lines are dropped becomes empty. Repeated rows come out as often as
-    they go in; an empty table gives no rows. Texts are read whole.
+    Lines end at \\n; empty ones (also of white space alone) stay. Lines of so few tokens that none may differ (four or
+    less, as are most in scripts without spaces) recur only if they are equal, digits and all. Of the documents with a
+    template, that with the least doc_id keeps its lines (also those that it repeats itself); rows with the same id are one
+    document, and a null id comes last. A null text stays null (no lines). A text of which all lines are dropped becomes empty.
+    Repeated rows come out as often as they go in; an empty table gives no rows. Other columns may have any names but those of
+    the results. Texts are read whole, in time in proportion to their length.
     """
     keep = keep or ["doc_id"]
-    rows = materialise(_lines(docs, tokens, depth).drop("m"), "lines")
-
-    # leaves with different lines in different documents: their templates
-    bounds = [F.min("doc_id").alias("first"), (F.min("doc_id") != F.max("doc_id")).alias("many"), F.count_if(F.col("doc_id").isNull()).alias("nulls")]
-    mixed = rows.groupBy("leaf").agg(*bounds, (F.min("line") != F.max("line")).alias("mixed")).where(F.col("mixed") & (F.col("many") | (F.col("nulls") > 0)))
-    mixed = small(materialise(mixed.select("leaf"), "leaves"), ROWS)
-    kinds = _lines(docs, tokens, depth).join(mixed, "leaf", "left_semi").groupBy("leaf", "line", "m").agg(F.count("*").alias("rows"))
-    kinds = materialise(kinds, "kinds")
-    at = kinds.select("leaf", "line", "rows", F.posexplode(F.split("m", " ")).alias("pos", "token"))
-    by_token = at.groupBy("leaf", "pos", "token").agg(F.sum("rows").alias("rows"))
-    usual = by_token.groupBy("leaf", "pos").agg(F.max(F.struct("rows", "token")).alias("top"), F.sum("rows").alias("all"))
-    usual = materialise(usual.where(F.col("top.rows") * 2 >= F.col("all")).select("leaf", "pos", F.col("top.token").alias("token")), "templates")
-    agrees = at.join(usual, ["leaf", "pos", "token"]).groupBy("leaf", "line").agg(F.count("*").alias("same"))
-    sizes = kinds.select("leaf", "line", F.size(F.split("m", " ")).alias("n"))
-    joined = sizes.join(agrees, ["leaf", "line"]).where(F.col("same") >= alike * F.col("n"))
-    template = small(materialise(joined.select("line", F.col("leaf").alias("template")).distinct(), "members"), ROWS)
-
-    # templates in several documents; the first document keeps its lines
-    named = rows.join(template, "line", "left").select("doc_id", "line", F.coalesce("template", "line").alias("template"))
-    named = materialise(named.distinct(), "named")
-    again = named.groupBy("template").agg(*bounds).where(F.col("many") | (F.col("first").isNotNull() & (F.col("nulls") > 0)))
-    again = materialise(again.select("template", "first"), "again")
-    drops = named.join(again, "template").where(~F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "line")
-    drops = materialise(drops.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line").alias("_drop")), "drops")
-
-    data = docs.select(*keep, *([] if "doc_id" in keep else ["doc_id"]), F.col("text").alias("_text"))
-    out = data.join(drops, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split("_text", "\n", -1))
-    keys = F.when(F.col("_drop").isNotNull(), F.transform(masked_lines(F.col("_text")), lambda m: F.unhex(F.md5(m))))
-    out = out.withColumn("_keys", keys)
-    left = F.filter("_lines", lambda x, i: ~F.array_contains(F.col("_drop"), F.get(F.col("_keys"), i)))
-    out = out.withColumn("_left", F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(left))
-    n = F.coalesce(F.size("_lines"), F.lit(0))
-    return out.select(*keep, F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(F.array_join("_left", "\n")).alias("text"), F.greatest(n, F.lit(0)).alias("n_lines"), F.greatest(n - F.size("_left"), F.lit(0)).alias("n_dropped"))
+    rows = materialise(_lines(docs, depth, alike), "lines")
+    # leaves of several documents; only their lines can recur
+    leaves = rows.groupBy("g1", "g2").agg(*_span(), (F.min("l1") < F.max("l1")).alias("mixed")).where(MANY).select("g1", "g2", "mixed")
+    leaves = materialise(leaves, "leaves")
+    near = materialise(rows.join(small(leaves), ["g1", "g2"]).withColumn("m", F.when(F.col("mixed") & _may_differ(F.col("n"), alike), F.col("m"))), "near")
+    discard(rows, leaves)
+    kinds = materialise(near.groupBy("l1", "l2").agg(*_span()), "kinds")
+    able = near.where("m is not null").groupBy("l1", "l2", "g1", "g2").agg(F.min("m").alias("m"))
+    able = materialise(able.select("l1", "l2", "g1", "g2", F.transform(F.split("m", " ", -1), lambda x, i: F.xxhash64(i, x)).alias("w")), "able")
+    template = materialise(_templates(able, alike), "members")
+
+    # lines whose template is in several documents, with the document that keeps them
+    members = kinds.join(small(template), ["l1", "l2"])
+    spans = materialise(members.groupBy("t1", "t2").agg(*_spans()).where(MANY).select("t1", "t2", "first"), "spans")
+    alone = kinds.where(MANY).join(small(template), ["l1", "l2"], "left_anti").select("l1", "l2", "first")
+    again = alone.unionByName(template.join(small(spans), ["t1", "t2"]).select("l1", "l2", "first"))
+    again = materialise(again, "again")
+    drops = near.select("doc_id", "k", "pos", "l1", "l2").join(small(again), ["l1", "l2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
+    drops = drops.groupBy("doc_id", "k").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    drops = materialise(drops.select(F.col("doc_id").alias("_id"), F.col("k").alias("_k"), F.col("gone").alias("_gone")), "drops")
+    discard(near, kinds, able, template, spans, again)
+
+    kept = [F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)]
+    data = docs.select(*kept, F.col("text").alias("_text"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_row"))
+    out = data.join(small(drops), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_k")), "left")
+
+    def cut(x: Column) -> Column:
+        """The lines between the positions that go."""
+        start = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(x["gone"], i - 1) + 1)
+        stop = lambda i: F.coalesce(F.get(x["gone"], i), F.size(x["lines"]))
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["gone"])), lambda i: F.slice(x["lines"], start(i) + 1, stop(i) - start(i)))), "\n")
+
+    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(_let(F.struct(F.split("_text", "\n", -1).alias("lines"), F.col("_gone").alias("gone")), cut))
+    n = F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1
+    return out.select(*[F.col(f"_keep{k}").alias(c) for k, c in enumerate(keep)], text.alias("text"), F.coalesce(n, F.lit(0)).alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("n_dropped"))

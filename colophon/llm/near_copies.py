@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from colophon.llm._common import materialise, small
 from colophon.llm.simhash import components
 
-#: Words of a shingle, least similarity, bands and MinHash rows in each, most texts of a component in one task, rows that may be broadcast.
-SIZE, ALIKE, BANDS, ROWS, LIMIT, SMALL = 5, 0.8, 32, 6, 4096, 100_000
+#: Words of a shingle, least similarity, bands and MinHash rows in each, most texts of a component in one task.
+SIZE, ALIKE, BANDS, ROWS, LIMIT = 5, 0.8, 32, 6, 4096
 _ODD = np.random.default_rng(42).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -157,7 +157,7 @@ def near_copies(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     firsts = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("least")), "sets")
     banded = rows.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
-    shared = small(materialise(shared, "bands"), SMALL)
+    shared = small(materialise(shared, "bands"))
     edges = banded.join(shared, "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     stars = components(edges)
     stars = materialise(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "candidates")

@@ -32,8 +32,6 @@ LENGTH = 2048
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Most words that a worker remembers in each of two generations.
 CACHE = 200_000
-#: Rows of task totals that may be broadcast.
-TASKS = 1_000_000
 _workers: dict[str, _Words] = {}
 
 
@@ -150,7 +148,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1)
     totals = rows.groupBy("part").agg(F.max(F.col("before") + F.col("n")).alias("total"))
     # one row for each task of the first pass
     base = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = small(materialise(totals.select("part", base.alias("base")), "offsets"), TASKS)
+    offsets = small(materialise(totals.select("part", base.alias("base")), "offsets"))
     kind = docs.select("doc_id").schema[0].dataType
     stored = np.dtype("<u2" if narrow else "<u4")
 

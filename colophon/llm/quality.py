@@ -98,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | N
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     known = known.where("quality = most").select("doc_id", "quality", F.xxhash64("doc_id").alias("h"))
     picked = [known.where(F.col("quality") == q).orderBy("h", "doc_id").limit(sample // 2).select("doc_id", "quality") for q in (0, 1)]
-    picked = small(materialise(picked[0].unionByName(picked[1]), "sample"), sample)
+    picked = small(materialise(picked[0].unionByName(picked[1]), "sample"))
     rows = docs.select("doc_id", "text").join(picked, "doc_id")
     got = _with_features(rows, ["doc_id", "quality"]).groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("r")).orderBy("doc_id").collect()
     x = np.stack([np.frombuffer(r["r"]["x"], np.float32) for r in got]) if got else np.zeros((0, 1), np.float32)
