@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from colophon.llm import queries as _llm
 from colophon.llm._common import bucket_of, materialise, small
-from colophon.llm.decontaminate import ROWS, contaminated
+from colophon.llm.decontaminate import contaminated
 from colophon.llm.language import identify
 from colophon.llm.line_dedup import line_dedup
 from colophon.llm.near_copies import near_copies
@@ -45,7 +45,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark."""
     pairs = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = small(materialise(pairs.select(F.col("doc_id").alias("_gone")).distinct(), "leaks"), ROWS)
+    gone = small(materialise(pairs.select(F.col("doc_id").alias("_gone")).distinct(), "leaks"))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
