@@ -96,13 +96,14 @@ def test_packing_round_trip(spark):
     assert twice.agg(F.sum("length")).first()[0] == 2 * (len(tok.encode("a b").ids) + 1)
 
 
-def test_words_are_encoded_as_by_tokenizers():
-    w = packing._Words(tokenizer_path(), keep=50)
+def test_texts_are_encoded_as_by_tokenizers():
+    w = packing._Encoder(tokenizer_path())
+    assert w.ranked is not None
     rng = random.Random(1)
     xs = ["".join(rng.choice(" \n\tab1!é' s-日") for _ in range(rng.randint(0, 14))) for _ in range(4000)]
-    for k in range(0, len(xs), 500):
-        want = [e.ids for e in w.tokenizer.encode_batch(xs[k : k + 500], add_special_tokens=False)]
-        assert [np.frombuffer(b, w.kind).tolist() for b in w.encode(xs[k : k + 500])] == want
+    xs += ["a" * 30_000, " " * 30_000, "日本" * 9000, "<|endoftext|>", "!?" * 20_000 + " x"]
+    want = [e.ids for e in w.tokenizer.encode_batch(xs, add_special_tokens=False)]
+    assert [np.frombuffer(b, w.kind).tolist() for b in w.encode(xs)] == want
 
 
 def test_language(spark, small):
@@ -113,11 +114,42 @@ def test_language(spark, small):
     assert np.mean([r["rejected"] for r in out]) < 0.01
 
 
+def test_counts_of_slices_are_those_of_the_whole(monkeypatch):
+    text = "Der Hund, und die Katze! " * 400
+    whole = language.counts(text)
+    monkeypatch.setattr(language, "SLICE", 100)
+    assert len(list(language._slices(text))) > 50 and "".join(language._slices(text)) == text
+    assert 0 <= (whole - language.counts(text)).sum() < 2 * 100  # less a group across each cut
+
+
+def test_short_texts_of_other_languages_are_rejected(spark, small):
+    docs = spark.read.parquet(f"{small.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    other = ["Это короткий текст на другом языке", "这是一个简短的文本，用另一种语言写成", "これは短いテキストです", "هذا نص قصير بلغة أخرى"]
+    rows = docs.unionByName(spark.createDataFrame([(900000 + k, t, None) for k, t in enumerate(other)], docs.schema))
+    out = language.identify(rows, F.col("doc_id") < 900000).where("doc_id >= 900000").collect()
+    assert len(out) == 4 and all(r["rejected"] for r in out)
+    model = language.fit(docs)
+    texts = [r["text"] for r in docs.collect() if r["text"]]
+    pieces = [" ".join(t.split()[5 : 5 + n]) for t in texts[::5] for n in (1, 2, 5, 20) if len(t.split()) > 30]
+    assert np.mean(model.predict(np.stack([language.counts(t) for t in pieces]))[2]) < 0.01
+
+
+def test_nearest_centroid_is_that_of_plain_arithmetic(spark):
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([("the cat and the dog", "en"), ("of the house and me", "en"), ("der hund und die katze", "de"), ("von dem haus und mir", "de")] * 3)]
+    model = language.fit(docs_of(spark, rows))
+    for t in ("the house of a dog", "die katze von dem hund", "xyz qqq"):
+        v = np.array([math.log1p(c) * w for c, w in zip(language.counts(t).tolist(), model.idf.tolist(), strict=True)])
+        cos = [float(v @ m) / math.sqrt(float(v @ v)) for m in model.matrix]
+        assert model.predict(language.counts(t)[None])[0] == [model.languages[int(np.argmax(cos))]]
+
+
 def test_language_edges(spark):
     rows = [(k, "the cat and the dog of the house " * 3, "en") for k in range(8)] + [(10 + k, "der hund und die katze von dem haus " * 3, "de") for k in range(8)]
     rows += [(30, None, "en"), (31, "", "en"), (32, "12 !! 34", "de"), (33, "und die katze", None), (None, "the dog", "en"), (34, "the " * 50_000, None), (1, rows[1][1], "en")]
     docs = docs_of(spark, [r if r[2] else (r[0], r[1], None) for r in rows])
     got = {r["doc_id"]: r for r in language.identify(docs).collect()}
+    for marks in ("½", "²", "①", "ⅷ ¹²³", "_ 12"):
+        assert not language.LETTER.search(marks)
     assert [got[k]["lang_pred"] for k in (30, 31, 32, 33, None, 34)] == ["und", "und", "und", "de", "en", "en"]
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[30]["rejected"] and not got[33]["rejected"]
     assert language.identify(docs).count() == len(rows)
