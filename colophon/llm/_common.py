@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, BinaryType, StringType
 #: White space of the contracts, [\x20\x09-\x0D].
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 #: Most bytes of a table that is broadcast.
-BROADCAST = 32 << 20
+BROADCAST = 16 << 20
 _written: list[tuple[SparkSession, str]] = []
 
 

@@ -1,12 +1,14 @@
-"""Near-copies by the similarity of their word shingles, for the pipeline.
+"""Near-copies by SimHash at a wide radius: texts with a similarity of 0.8 or more of their five-word shingles.
 
-Texts are sets of shingles of five words. MinHash bands name candidates: texts under a common band are linked to the least of
-them, so no pairs of a group are listed, and the links' components hold all texts that are to be compared. Only these texts are
-read again. Each component goes to a task, which counts shared shingles by posting lists and links texts by their exact Jaccard
-similarity; texts that are already linked to most others aren't compared again. A component of more than LIMIT texts is dealt by
-its bands instead. Equal sets are one text throughout.
+At that similarity two fingerprints differ in about 15 % of their bits, more than any keys over bits can search, so fingerprints
+have 256 bits and are compared, bit-sliced, only among candidates. MinHash bands name these: texts under a common band are linked
+to the least of them, so no pairs of a group are listed, and the links' components hold all texts that are to be compared. Only
+these are read again. Each component goes to a task, which counts the distances of its fingerprints in bit planes; texts within
+the radius that aren't linked yet are compared by their shingles, and linked if their Jaccard similarity is 0.8 or more. A
+component of more than LIMIT texts is dealt by its bands instead. Equal sets are one text throughout.
 
-Two texts with a similarity of s share no band with a probability of (1 - s**ROWS)**BANDS: 6e-5 at 0.8, 3e-11 at 0.9.
+Two texts with a similarity of s share no band with a probability of (1 - s**ROWS)**BANDS: 7e-5 at 0.8, 2e-9 at 0.9. At 0.8 the
+fingerprints differ in 39 bits on average, with a deviation of 6; the radius is four deviations more.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm._common import materialise, small
-from colophon.llm.simhash import components
+from colophon.llm._common import discard, materialise, small
+from colophon.llm.simhash import components, near_lanes, planes_of, wide_fingerprint
 
-#: Words of a shingle, least similarity, bands and MinHash rows in each, most texts of a component in one task.
-SIZE, ALIKE, BANDS, ROWS, LIMIT = 5, 0.8, 32, 6, 4096
-_ODD = np.random.default_rng(42).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words of a shingle, least similarity, radius of the fingerprints, bands and MinHash rows in each, most texts of a component in one task.
+SIZE, ALIKE, RADIUS, BANDS, ROWS, LIMIT = 5, 0.8, 62, 24, 5, 4096
+_ODD = np.random.default_rng(42).integers(0, 2**32, (2, BANDS * ROWS), dtype=np.uint32) | np.uint32(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,11 +57,14 @@ def _bands(s: np.ndarray) -> np.ndarray:
     """One hash for each band, different between bands; none of an empty set, which is only like itself."""
     if not len(s):
         return np.empty(0, np.int64)
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for k in range(0, len(s), 4096):
-        part = s[k : k + 4096, None] * _ODD[0] + _ODD[1]
-        least = np.minimum(least, (part ^ (part >> np.uint64(29))).min(axis=0)) if k else (part ^ (part >> np.uint64(29))).min(axis=0)
-    rows = least.reshape(BANDS, ROWS)
+    low = (s >> np.uint64(32)).astype(np.uint32) ^ s.astype(np.uint32)
+    least = np.full(BANDS * ROWS, ~np.uint32(0))
+    for k in range(0, len(s), 2048):
+        part = low[k : k + 2048, None] * _ODD[0]
+        part ^= part >> np.uint32(15)
+        part *= _ODD[1]
+        least = np.minimum(least, part.min(axis=0))
+    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
     out = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         out = _mixed(out * _MIX + rows[:, k])
@@ -71,15 +76,18 @@ def _signed(values: list[int]) -> pa.Array:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, key, node (a hash of the text's shingles) and bands of each row of docs (doc_id, key, text)."""
     kind = docs.select("doc_id").schema[0].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t) for t in batch.column("text").to_pylist()]
-            bands = pa.array([_bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _signed([_node(s) for s in sets]), bands], ["doc_id", "node", "bands"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                sets = [shingles(t) for t in batch.column("text").to_pylist()]
+                bands = pa.array([_bands(s) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), _signed([_node(s) for s in sets]), bands], ["doc_id", "key", "node", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, node long, bands array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, key long, node long, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -91,8 +99,11 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, items array<long>")
 
 
-def similar(sets: list[np.ndarray], alike: float = ALIKE) -> np.ndarray:
-    """For each of the sets (each of distinct values) the index of its component's root, by links of a Jaccard similarity of `alike` or more."""
+def similar(sets: list[np.ndarray], alike: float = ALIKE, radius: int = RADIUS) -> np.ndarray:
+    """For each of the sets (each of distinct values) the index of its component's root, by links of a Jaccard similarity of `alike` or more.
+
+    Only sets whose fingerprints are within the radius are compared, and only while they aren't linked.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     starts = np.concatenate(([0], np.cumsum(sizes)))
@@ -100,25 +111,21 @@ def similar(sets: list[np.ndarray], alike: float = ALIKE) -> np.ndarray:
     order = np.argsort(ids, kind="stable")
     owners = np.repeat(np.arange(n), sizes)[order]
     heads = np.concatenate(([0], np.cumsum(np.bincount(ids))))
+    prints = np.stack([wide_fingerprint(s.view(np.uint64)) for s in sets])
+    planes = planes_of(prints)
     root = np.arange(n)
-
-    def link(i: int) -> None:
-        at = ids[starts[i] : starts[i + 1]]
-        shared = np.zeros(n, np.int64)
-        for k in range(0, len(at), 1024):
-            lists = [owners[heads[x] : heads[x + 1]] for x in at[k : k + 1024]]
-            shared += np.bincount(np.concatenate(lists), minlength=n)
-        near = shared >= alike * (sizes + sizes[i] - shared) - 1e-9
-        groups = np.unique(root[near])
-        if len(groups) > 1:
-            root[np.isin(root, groups)] = groups[0]
-
-    for i in {0, n // 4, n // 2, 3 * n // 4}:
-        link(i)
-    anchor = int(np.argmax(np.bincount(root, minlength=n)))  # a member of the largest group so far
-    for i in range(n):
-        if root[i] != root[anchor]:  # pairs of two texts that are both in the anchor's group are linked already
-            link(i)
+    for at in range(0, n, 512):
+        near = np.unpackbits(near_lanes(planes, prints[at : at + 512], radius).view(np.uint8), axis=1, count=n, bitorder="little").astype(bool)
+        for i in range(at, min(at + 512, n)):
+            if not (root[near[i - at]] != root[i]).any():
+                continue
+            own = ids[starts[i] : starts[i + 1]]
+            shared = np.zeros(n, np.int64)
+            for k in range(0, len(own), 1024):  # posting lists of the set's values
+                shared += np.bincount(np.concatenate([owners[heads[x] : heads[x + 1]] for x in own[k : k + 1024]]), minlength=n)
+            groups = np.unique(root[shared >= alike * (sizes + sizes[i] - shared) - 1e-9])
+            if len(groups) > 1:
+                root[np.isin(root, groups)] = groups[0]
     return root
 
 
@@ -147,32 +154,34 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_copies(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id and component_id for each row of docs (doc_id, text).
+    """doc_id, key, component for each row of docs (doc_id, text), without regard to its other columns.
 
-    component_id is the least doc_id that can be reached over links of texts with a Jaccard similarity of 0.8 or more of their
-    distinct shingles of five words, the row's own included (null ids come last). Words end at white space; ASCII letters count
-    without case. Null and empty texts have no shingles and are alike. Texts are read whole.
+    key is the xxhash64 of the text. Rows have the same component if their texts can be reached from each other over links of
+    texts with a Jaccard similarity of 0.8 or more of their distinct shingles of five words. Words end at white space; ASCII
+    letters count without case; a text of fewer words is one shingle. Null and empty texts have no shingles and are alike.
+    Texts are read whole. Repeated rows come out as often as they go in; an empty table gives no rows.
     """
+    docs = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     rows = materialise(_signatures(docs), "signatures")
-    firsts = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("least")), "sets")
     banded = rows.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
-    shared = small(materialise(shared, "bands"))
-    edges = banded.join(shared, "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    shared = materialise(shared, "bands")
+    edges = banded.join(small(shared), "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     stars = components(edges)
     stars = materialise(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "candidates")
     sizes = materialise(stars.groupBy("root").count(), "sizes")
     sized = stars.join(sizes, "root")
     tasks = sized.where(F.col("count") <= limit).select("node", F.col("root").alias("task"))
     big = sized.where(F.col("count") > limit).select("node")
-    split = banded.join(shared, "band").join(big, "node", "left_semi").select("node", F.col("band").alias("task")).distinct()
+    split = banded.join(small(shared), "band").join(big, "node", "left_semi").select("node", F.col("band").alias("task")).distinct()
     tasks = tasks.unionByName(split)
 
-    ids = stars.join(firsts, "node").select(F.col("least").alias("_id")).distinct()
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    dealt = _sets(texts).join(tasks, "node").select("task", "node", "items")
+    # one row of each candidate text is read again
+    first = rows.join(small(stars.select("node")), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("f"))
+    first = materialise(first.select(F.col("f.doc_id").alias("_id"), F.col("f.key").alias("_key")), "texts")
+    texts = docs.join(small(first), docs["doc_id"].eqNullSafe(first["_id"]) & (docs["key"] == first["_key"]), "left_semi")
+    dealt = _sets(texts.select("text")).join(tasks, "node").select("task", "node", "items")
     links = dealt.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_verify, "a long, b long")
-    roots = components(links)
-    named = firsts.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "node").join(named.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    roots = materialise(components(links), "roots")
+    discard(shared, stars, sizes, first)
+    return rows.join(small(roots), "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("component"))

@@ -22,12 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm._common import materialise
+from colophon.llm._common import discard, materialise
 
 RADIUS = 2
 #: Most fingerprints under one key before it is split, and fingerprints in a block.
 LIMIT, LANES = 4096, 1024
 ALL = (1 << 64) - 1
+#: Words of 64 bits in a wide fingerprint, for radii that keys can't serve.
+WIDE = 4
 
 
 def _signed(x: int) -> int:
@@ -55,6 +57,19 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">u8")[0])
 
 
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The SimHash of WIDE words (unsigned) of a set of 64-bit hashes, each stretched by a multiplication and a shift; zeros of none."""
+    counts = np.zeros((WIDE, 64), np.int64)
+    for at in range(0, len(hashes), 1 << 14):  # large sets in parts
+        part = hashes[at : at + (1 << 14)]
+        for k in range(WIDE):
+            x = part * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x632BE59BD9B4E019 & ALL)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(32)
+            counts[k] += np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes), axis=1).view(">u8").ravel().astype(np.uint64)
+
+
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of each row of docs."""
     kind = docs.select("doc_id").schema[0].dataType
@@ -109,6 +124,49 @@ def linked(block: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndar
     return rows[i], j
 
 
+def planes_of(prints: np.ndarray) -> np.ndarray:
+    """Bit planes (bits x words of 64 lanes) of fingerprints (lanes x words)."""
+    n = len(prints)
+    bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
+    lanes = np.zeros((bits.shape[1], -(-n // 64) * 64), np.uint8)
+    lanes[:, :n] = bits.T
+    return np.packbits(lanes, axis=1, bitorder="little").view("<u8")
+
+
+def near_lanes(planes: np.ndarray, rows: np.ndarray, radius: int) -> np.ndarray:
+    """Of fingerprints `rows` (each of several words), whether each lane of the planes is within the radius: rows x words of 64 lanes.
+
+    The counters of all distances are bit-sliced too: a difference plane is added to counter planes by carries, and a plane keeps
+    what has overflowed. The block is abandoned once all its distances are over the radius.
+    """
+    own = np.unpackbits(rows.astype("<u8").view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little").astype(bool)
+    shape = (len(rows), planes.shape[1])
+    counter = [np.zeros(shape, np.uint64) for _ in range(radius.bit_length())]
+    over, carry, kept = np.zeros(shape, np.uint64), np.empty(shape, np.uint64), np.empty(shape, np.uint64)
+
+    def far() -> np.ndarray:
+        more, equal = over.copy(), np.full(shape, ALL, np.uint64)
+        for b in range(len(counter) - 1, -1, -1):
+            if radius >> b & 1:
+                equal &= counter[b]
+            else:
+                more |= equal & counter[b]
+                equal &= ~counter[b]
+        return more
+
+    flip = np.where(own.T[:, :, None], np.uint64(ALL), np.uint64(0))
+    for k in range(len(planes)):
+        np.bitwise_xor(planes[k][None, :], flip[k], out=carry)
+        for c in counter:
+            np.bitwise_and(c, carry, out=kept)
+            np.bitwise_xor(c, carry, out=c)
+            carry, kept = kept, carry
+        over |= carry
+        if k % 64 == 63 and far().min() == ALL:
+            return np.zeros(shape, np.uint64)
+    return ~far()
+
+
 def _unused(n: int, width: int) -> np.ndarray:
     """Lanes that don't count: those past the end, and each fingerprint's own and earlier ones (distances are symmetric)."""
     lane = np.arange(width * 64)[None, :]
@@ -236,7 +294,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = materialise(small, f"stars{step}")
+        last, now = now, materialise(small, f"stars{step}")
+        discard(last)
         got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == tuple(got):
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

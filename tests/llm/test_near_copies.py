@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline as P
 from colophon.llm import near_copies as N
+from colophon.llm import simhash as S
 
 
 def plain_near(rows, size=5, alike=0.8):
@@ -23,11 +24,7 @@ def plain_near(rows, size=5, alike=0.8):
             pairs += x != y
             low, high = sorted((group[a], group[b]))
             group = [low if g == high else g for g in group]
-    least = {}
-    for g, (i, _) in zip(group, rows, strict=True):
-        ids = [x for x in (least.get(g), i) if x is not None]
-        least[g] = min(ids) if ids else None
-    return sorted(str((i, least[g])) for g, (i, _) in zip(group, rows, strict=True)), pairs
+    return group, pairs
 
 
 def edited():
@@ -43,29 +40,72 @@ def edited():
     return rows + [(300, None), (301, ""), (302, "two words"), (303, "Two  words"), (304, rows[0][1]), (None, rows[1][1]), (None, None), (2, rows[3][1])]
 
 
+def partition(names, groups):
+    out = {}
+    for name, g in zip(names, groups, strict=True):
+        out.setdefault(g, []).append(str(name))
+    return sorted(sorted(x) for x in out.values())
+
+
 @pytest.mark.parametrize("limit", [4096, 3])
 def test_near_copies(spark, limit):
     rows = edited()
     want, pairs = plain_near(rows)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, key int, node int").repartition(3)
     assert pairs > 50
-    assert sorted(str(tuple(r)) for r in N.near_copies(docs, limit).collect()) == want
+    key = {r["t"]: r["k"] for r in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) as k").collect()}
+    got = N.near_copies(docs, limit).collect()
+    assert partition([(r["doc_id"], r["key"]) for r in got], [r["component"] for r in got]) == partition([(i, key[t]) for i, t in rows], want)
     if limit == 3:
         assert N.near_copies(docs.limit(0)).count() == 0
 
 
+def test_recall_on_the_tables(spark, small):
+    """Against all pairs that share a shingle, by exact similarity."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want, pairs = plain_near(rows)
+    got = {r["doc_id"]: r["component"] for r in N.near_copies(docs).collect()}
+    assert partition(got, got.values()) == partition([i for i, _ in rows], want) and len(set(want)) < len(rows)
+
+
 def test_stage_drops_edited_copies(spark, small):
-    rows = [r for r in edited() if r[0] is not None]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    least = {eval(x)[0]: eval(x)[1] for x in plain_near([r for r in rows if r[0] != 2])[0]}  # noqa: S307
-    kept = {r["doc_id"] for r in P.no_near_copies(spark, docs.where("doc_id <> 2"), small).collect()}
-    assert kept == set(least.values())
+    rows = edited()
+    docs = spark.createDataFrame([(*r, "x", 5) for r in rows], "doc_id long, text string, component string, _key int")
+    group, _ = plain_near(rows)
+    least = {}
+    for g, (i, t) in zip(group, rows, strict=True):
+        least[g] = min(least.get(g, (True, 0, "")), (i is None, i or 0, t or ""))
+    got = P.no_near_copies(spark, docs, small)
+    assert got.columns == docs.columns
+    kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect())
+    assert kept == sorted(x[:2] for x in least.values())
+
+
+def test_rows_of_one_id_are_told_apart(spark, small):
+    long = [" ".join(f"{w}{k}" for k in range(60)) for w in "abc"]
+    rows = [(3, long[0]), (7, long[0]), (7, long[1]), (8, long[2]), (8, long[2])]
+    got = P.no_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), small)
+    assert sorted(tuple(r) for r in got.collect()) == [(3, long[0]), (7, long[1]), (8, long[2])]
+
+
+@pytest.mark.parametrize("radius", [0, 5, 62])
+def test_wide_bit_sliced_distances_are_exact(radius):
+    rng = np.random.default_rng(radius)
+    x = rng.integers(0, 2**63, (200, 4), dtype=np.int64).astype(np.uint64)
+    x[100:] = x[:100]
+    for k in range(100, 200):
+        for b in rng.choice(256, rng.integers(0, 90), replace=False):
+            x[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+    got = np.unpackbits(S.near_lanes(S.planes_of(x), x[50:150], radius).view(np.uint8), axis=1, count=200, bitorder="little")
+    want = np.unpackbits((x[50:150, None] ^ x[None]).view(np.uint8), axis=2).sum(axis=2) <= radius
+    assert (got == want).all() and want.sum() > 100
 
 
 def test_similar_compares_all_pairs():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, rng.integers(20, 60))) for _ in range(60)]
-    root = N.similar(sets, 0.5)
+    root = N.similar(sets, 0.5, 256)
     group = list(range(60))
     for a, b in itertools.combinations(range(60), 2):
         x, y = set(sets[a].tolist()), set(sets[b].tolist())
