@@ -19,34 +19,59 @@ from colophon.llm.near_copies import near_copies
 from colophon.llm.packing import pack
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """_id and _text of docs, and _key, a hash that tells the texts of one id apart: (_id, _key) names a document."""
+    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.col("text").alias("_text"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the documents (_id, _key) of gone, a written table."""
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"])
+    return docs.join(small(gone), same, "left_anti")
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told; texts without a letter, null texts and very distant ones go.
 
-    Learned from the labelled two thirds of the stage's input.
+    Learned from the labelled two thirds of the stage's input. An empty table stays empty.
     """
-    out = identify(docs, bucket_of(F.col("doc_id"), 3) != 1, keep=docs.columns)
-    return out.where(~F.col("rejected")).select(*docs.columns)
+    rows = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("_key"))
+    out = identify(rows, bucket_of(F.col("doc_id"), 3) != 1, keep=["doc_id", "_key"])
+    gone = materialise(out.where("rejected").select(F.col("doc_id").alias("_id"), "_key").distinct(), "rejected")
+    return _without(docs, gone)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier document has; n_chars counts what is left."""
-    other = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = line_dedup(docs, keep=other).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """All documents, without lines whose template an earlier document has; n_chars, if it is there, counts what is left."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))  # one column, whatever names it holds
+    out = line_dedup(rows.withColumn("row", F.col("row").dropFields("text")), keep=["row"])
+    n_chars = lambda c: F.char_length("text").cast(docs.schema[c].dataType).alias(c)
+    return out.select(*["text" if c == "text" else n_chars(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-copies (five-word similarity of 0.8 or more) the document with the least id; null ids stay."""
-    groups = near_copies(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Of each component of near-copies (five-word similarity of 0.8 or more) one row, that with the least id (null ids come last).
+
+    Rows are told apart by id and text, so of an id with several texts only the copies go; of repeated rows one stays.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    rows = near_copies(docs).groupBy("component", name.alias("name")).agg(F.count("*").alias("n"))
+    rows = materialise(rows, "named")
+    first = rows.groupBy("component").agg(F.min("name").alias("first"), F.count("*").alias("names"))
+    marks = rows.join(first.where("names > 1"), "component").where("name <> first").select("name._id", "name._key")
+    rest = _without(docs, materialise(marks, "copies"))
+    twice = materialise(rows.where("n > 1").select("name._id", "name._key"), "repeated")
+    if twice.isEmpty():
+        return rest
+    again = docs["doc_id"].eqNullSafe(twice["_id"]) & (F.xxhash64(docs["text"]) == twice["_key"])
+    return _without(rest, twice).unionByName(rest.join(small(twice), again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no item of the benchmark."""
-    pairs = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = small(materialise(pairs.select(F.col("doc_id").alias("_gone")).distinct(), "leaks"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """Documents that contain no item of the benchmark; of an id with several texts only the rows that do go."""
+    keyed = _keyed(docs).select(F.struct("_id", "_key").alias("doc_id"), F.col("_text").alias("text"))
+    pairs = contaminated(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, materialise(pairs.select("doc_id._id", "doc_id._key").distinct(), "leaks"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
