@@ -8,11 +8,12 @@ page layouts (their number and seed are parameters), by gradient steps on the co
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,75 +32,151 @@ CLOSES_P = BLOCK - set("head title option select textarea tbody thead tfoot tr t
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|"[^"]*"|'[^']*'""")
+_COMMENT_END = re.compile(r"--!?>")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_PLAIN = re.compile(r"[^>\"']*+")
+_ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?|"[^"]*+"|'[^']*+'""")
+_HIDDEN = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden")
+_RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I) for tag in RAW}
 _WORD = re.compile(r"[a-z]+")
 _REF = re.compile(r"&(?:#|[a-zA-Z])")
+_ZEROS, _HUGE = re.compile(r"&#0++(?=[0-9])"), re.compile(r"&#[0-9]{8,}+;?")
 _SPACE = re.compile(r"\s+")
 
 
+class Node:
+    """An open element. It shares its parent's set of features where it adds none, so a chain of any depth stays small."""
+
+    __slots__ = ("block", "blocks", "feats", "marks", "parent", "tag", "unseen")
+
+    def __init__(self, parent: Node | None, tag: str, marks: tuple[str, ...] = (), unseen: bool = False):
+        is_block = tag in BLOCK
+        self.parent, self.tag, self.marks, self.unseen = parent, tag, marks, unseen
+        self.block = tag if is_block else parent.block if parent else "none"
+        self.blocks = (parent.blocks if parent else 0) + is_block
+        own, known = {_feature(x) for x in (f"in:{tag}", *(f"mark:{m}" for m in marks))}, parent.feats if parent else frozenset()
+        self.feats = known if own <= known else known | own
+
+
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]  # ancestors, outermost first
-    marks: tuple[str, ...]  # words of their class, id and role
+    node: Node | None  # the innermost open element
     linked: int = 0  # characters in links
     breaks: int = 0
 
-
-@dataclass
-class _Open:
-    tag: str
-    marks: tuple[str, ...] = ()
-    unseen: bool = False
+    @property
+    def marks(self) -> tuple[str, ...]:
+        """Words of the class, id and role attributes of all open elements, outermost first."""
+        out, node = [], self.node
+        while node:
+            out.append(node.marks)
+            node = node.parent
+        return tuple(m for part in reversed(out) for m in part)
 
 
-@dataclass
 class _Page:
-    stack: list[_Open] = field(default_factory=list)
-    blocks: list[Block] = field(default_factory=list)
-    parts: list[str] = field(default_factory=list)
-    linked: int = 0
-    breaks: int = 0
+    def __init__(self) -> None:
+        self.stack: list[Node] = []
+        self.at: dict[str, list[int]] = {}  # where each tag is in the stack
+        self.unseen = 0
+        self.blocks: list[Block] = []
+        self.parts: list[str] = []
+        self.linked = self.breaks = 0
+
+    def last(self, tags) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def push(self, tag: str, marks: tuple[str, ...], unseen: bool) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Node(self.stack[-1] if self.stack else None, tag, marks, unseen))
+        self.unseen += unseen
+
+    def text(self, chunk: str) -> None:
+        if self.unseen or not chunk:
+            return
+        if _REF.search(chunk):
+            if "&#" in chunk:
+                chunk = _HUGE.sub("\ufffd", _ZEROS.sub("&#", chunk))
+            chunk = html.unescape(chunk)
+        self.parts.append(chunk)
+        if self.at.get("a"):
+            self.linked += len(chunk)
 
     def close_block(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                marks = tuple(m for o in self.stack for m in o.marks)
-                self.blocks.append(Block(text, tuple(o.tag for o in self.stack), marks, self.linked, self.breaks))
+                self.blocks.append(Block(text, self.stack[-1] if self.stack else None, self.linked, self.breaks))
         self.parts, self.linked, self.breaks = [], 0, 0
 
+    def holds_block(self, at: int) -> bool:
+        """Whether there is a block-level element in the stack from position `at` on."""
+        return len(self.stack) > at and self.stack[-1].blocks > (self.stack[at - 1].blocks if at else 0)
+
     def pop_to(self, at: int) -> None:
-        if any(o.tag in BLOCK for o in self.stack[at:]):
+        if self.holds_block(at):
             self.close_block()
-        del self.stack[at:]
+        while len(self.stack) > at:
+            node = self.stack.pop()
+            self.at[node.tag].pop()
+            self.unseen -= node.unseen
+
+
+def _tag_end(page: str, at: int, unclosed: set[str]) -> int:
+    """Where the tag whose attributes begin at `at` ends (its > or the page's end); a quote that is never closed is plain text."""
+    while True:
+        at = _PLAIN.match(page, at).end()
+        if at >= len(page) or page[at] == ">":
+            return at
+        end = -1 if page[at] in unclosed else page.find(page[at], at + 1)
+        if end < 0:
+            unclosed.add(page[at])
+        at = max(at, end) + 1
+
+
+def _attributes(text: str) -> tuple[tuple[str, ...], bool]:
+    """The words that mark an element, and whether it is hidden."""
+    marks: list[str] = []
+    hidden = False
+    for a in _ATTR.finditer(text):
+        name, value = (a[1] or "").lower(), (a[2] or "").strip("\"'").lower()
+        if name in ("class", "id", "role", "itemprop"):
+            marks += _WORD.findall(value)
+        elif name == "hidden" and value in ("", "hidden") or name == "aria-hidden" and value == "true":
+            hidden = True
+        elif name == "style" and _HIDDEN.search(value):
+            hidden = True
+    return tuple(marks), hidden
 
 
 def leaf_blocks(page: str | None) -> list[Block]:
-    """Visible leaf blocks in page order, references decoded, white space squeezed. Broken markup is read as browsers do, nearly."""
+    """Visible leaf blocks in page order, references decoded, white space squeezed. Broken markup is read as browsers do, nearly.
+
+    Takes time in proportion to the page, however it is broken or nested.
+    """
     page = page or ""
     p = _Page()
-    at = 0
-    while at < len(page):
-        m = _TAG.search(page, at)
-        chunk = page[at : m.start() if m else len(page)]
-        if chunk and not any(o.unseen for o in p.stack):
-            if _REF.search(chunk):
-                chunk = html.unescape(chunk)
-            p.parts.append(chunk)
-            if any(o.tag == "a" for o in p.stack):
-                p.linked += len(chunk)
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+    unclosed: set[str] = set()  # kinds of quotes that don't occur again
+    at = begin = 0  # what is read, and where text that isn't taken yet begins
+    while (at := page.find("<", at)) >= 0:
+        closing = page.startswith("/", at + 1)
+        name = _NAME.match(page, at + 1 + closing)
+        if not name and not page.startswith(("<!", "<?"), at):
+            at += 1  # a plain <
+            continue
+        p.text(page[begin:at])
+        if not name:
+            found = _COMMENT_END.search(page, at + 4) if page.startswith("<!--", at) else None
+            end = found.end() if found else len(page) if page.startswith("<!--", at) else page.find(">", at) + 1 or len(page)
+            at = begin = end
             continue
-        if m[1]:
-            found = next((k for k in range(len(p.stack) - 1, -1, -1) if p.stack[k].tag == tag), None)
-            if found is not None:
-                p.pop_to(found)
+        tag, end = name[0].lower(), _tag_end(page, name.end(), unclosed)
+        attributes = page[name.end() : end]
+        at = begin = end + 1
+        if closing:
+            if p.at.get(tag):
+                p.pop_to(p.at[tag][-1])
             elif tag in BLOCK:
                 p.close_block()
             continue
@@ -107,40 +184,26 @@ def leaf_blocks(page: str | None) -> list[Block]:
             p.parts.append(" ")
             p.breaks += 1
             continue
-        if tag in CLOSES_P:
-            k = next((k for k in range(len(p.stack) - 1, -1, -1) if p.stack[k].tag == "p"), None)
-            if k is not None and not any(o.tag in BLOCK for o in p.stack[k + 1 :]):
-                p.pop_to(k)
-        if tag in ENDS:
-            for k in range(len(p.stack) - 1, -1, -1):
-                if p.stack[k].tag in ENDS[tag]:
-                    p.pop_to(k)
-                    break
-                if p.stack[k].tag in SCOPE[tag]:
-                    break
+        if tag in CLOSES_P and (k := p.last(("p",))) >= 0 and not p.holds_block(k + 1):
+            p.pop_to(k)
+        if tag in ENDS and (k := p.last(ENDS[tag])) > p.last(SCOPE[tag]):
+            p.pop_to(k)
         if tag in BLOCK:
             p.close_block()
-        if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCK:
+        if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCK:
             continue
-        marks: list[str] = []
-        hidden = False
-        for a in _ATTR.finditer(m[3]) if m[3] else ():
-            name, value = (a[1] or "").lower(), (a[2] or "").strip("\"'").lower()
-            if name in ("class", "id", "role", "itemprop"):
-                marks += _WORD.findall(value)
-            elif name == "hidden" and value in ("", "hidden") or name == "aria-hidden" and value == "true":
-                hidden = True
-            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                hidden = True
-        p.stack.append(_Open(tag, tuple(marks), hidden or tag in UNSEEN))
         if tag in RAW:  # their content isn't markup
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            p.stack.pop()
+            found = _RAW_END[tag].search(page, at)
+            at = begin = (page.find(">", found.end()) + 1 or len(page)) if found else len(page)
+            continue
+        marks, hidden = _attributes(attributes) if attributes else ((), False)
+        p.push(tag, marks, hidden or tag in UNSEEN)
+    p.text(page[begin:])
     p.close_block()
     return p.blocks
 
 
+@functools.lru_cache(1 << 16)
 def _feature(name: str) -> int:
     h = 2166136261
     for c in name.encode():
@@ -153,15 +216,14 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
     out = []
     for k, b in enumerate(blocks):
         n = len(b.text)
-        words = b.text.split(" ")
+        words = b.text.count(" ") + 1
         dense = b.linked / n if n else 0
-        size = next(i for i, x in enumerate((3, 8, 20, 50, 10**12)) if len(words) <= x)
-        own = b.tags[-1] if b.tags else "none"
-        names = ["bias", f"size{size}", f"own:{next((t for t in reversed(b.tags) if t in BLOCK), 'none')}", f"links{0 if not dense else 1 if dense < 0.5 else 2}", f"end:{b.text[-1:] in '.!?…»”'}", f"size{size}links{int(dense >= 0.5)}", f"first:{k == 0}", f"tag:{own}"]
-        names += [f"in:{t}" for t in set(b.tags)] + [f"mark:{m}" for m in set(b.marks)]
+        block, own = (b.node.block, b.node.tag) if b.node else ("none", "none")
+        size = next(i for i, x in enumerate((3, 8, 20, 50, 10**12)) if words <= x)
+        names = ["bias", f"size{size}", f"own:{block}", f"links{0 if not dense else 1 if dense < 0.5 else 2}", f"end:{b.text[-1:] in '.!?…»”'}", f"size{size}links{int(dense >= 0.5)}", f"first:{k == 0}", f"tag:{own}"]
         if "©" in b.text or "&copy" in b.text:
             names.append("copyright")
-        out.append([_feature(x) for x in names])
+        out.append([*map(_feature, names), *(b.node.feats if b.node else ())])
     return out
 
 
@@ -370,7 +432,8 @@ def main_text(page: str | None, model: Field) -> str:
 def extract(pages: DataFrame, n_pages: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages (page_id, url, html).
 
-    text is empty if no block is main text, as of null and empty pages; n_chars counts code points. Pages are read whole;
+    text is empty if no block is main text, as of null and empty pages; n_chars counts code points. Pages are read whole, in time
+    in proportion to their length, however broken or deeply nested;
     repeated rows come out as often as they go in, null ids and urls are kept, other columns are ignored.
     """
     model = train(labelled_pages(n_pages))

@@ -1,7 +1,10 @@
 """Text that is visible whatever its element's other attributes hold."""
 
+import time
+
 import pytest
 
+from colophon.llm import html_text
 from colophon.llm.html_text import leaf_blocks
 
 
@@ -20,3 +23,19 @@ def test_hidden(attrs):
 
 def test_marks_come_from_their_attributes():
     assert leaf_blocks('<p data-class="no" title="id=no" class="Main text" id=top>x</p>')[0].marks == ("main", "text", "top")
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a \"" * 250_000 + '"', "<a '" * 250_001, "<div>x" * 100_000, "<p><span>" * 100_000, "<span>" * 50_000 + "<td>" + "<div></div>" * 50_000, "<span>" * 50_000 + "<li>x</li>" * 50_000, "<script></script" * 60_000, "<!--" * 250_000, "<!-- -->" * 100_000, "<" * 1_000_000, "".join(f"<x{k}>y" for k in range(60_000)), "&#" + "9" * 100_000 + "; &#" + "0" * 100_000 + "65;", "</p>" * 250_000])
+def test_broken_pages_take_linear_time(page):
+    began = time.time()
+    html_text.block_features(leaf_blocks(page))
+    assert time.time() - began < 20
+
+
+def test_broken_markup():
+    texts = lambda page: [b.text for b in leaf_blocks(page)]
+    assert texts('<p title="never closed>a</p><p>b') == ["a", "b"]
+    assert texts("1 < 2 <3 <p>x<!-- c -->y<? z ?>") == ["1 < 2 <3", "xy"]
+    assert texts("<li>a<li>b<ul><li>c</ul>d") == ["a", "b", "c", "d"]
+    assert texts("<p>a<div>b</p>c</div>") == ["a", "b", "c"]
+    assert texts("&#0000065;&#99999999999; &amp;lt;") == ["A\ufffd &lt;"]
