@@ -9,16 +9,18 @@ a digit or an @ are searched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The key's default is for tests; rounds are even, so that the parts keep their ranges.
-KEY, ROUNDS = "change me", 8
+#: Rounds are even, so that the parts keep their ranges. The Spark setting that holds the key.
+ROUNDS, SETTING = 8, "spark.colophon.pseudonymKey"
 
 # Forms of the data kinds. Each begins where no letter, digit or the like precedes it, so that a long run of
 # characters is tried once.
-_MAIL = r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_.%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63})+"
-_HEX = r"(?<![\w])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w])"
+_MAIL = r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_.%+-]++@[A-Za-z0-9][A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)++"
+_HEX = r"(?<![\w])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\w])"
 _IBAN = r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w])"
 _DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w/-]|\.\d)"
 _IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
@@ -63,7 +65,7 @@ def _power(n: Column) -> Column:
     return F.rpad(F.lit("1"), (n + 1).cast("int"), F.lit("0")).cast("long")
 
 
-def permuted_digits(d: Column, tag: str, key: str = KEY, invert: bool = False) -> Column:
+def permuted_digits(d: Column, tag: str, key: str, invert: bool = False) -> Column:
     """A string of 2 to 36 digits, permuted among strings of its length."""
     n = F.length(d)
     half = F.floor(n / 2).cast("int")
@@ -96,25 +98,66 @@ def _mod97(x: Column) -> Column:
     )
 
 
+def _runs(m: Column, sep: str, least: int, most: int, first: bool) -> Column:
+    """head, body, tail: the parts of m at separators whose body has least to most characters without them, longest first; `first`: from m's start."""
+    parts = F.split(m, f"(?=[{sep}])")  # a separator begins the part after it
+    join = lambda p, a, n: F.array_join(F.slice(p, a, n), "")
+
+    def cut(p: Column) -> Column:
+        n = F.size(p)
+        starts = F.array(F.lit(1)) if first else F.sequence(F.lit(1), n)
+        runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(i, n), lambda j: F.struct(join(p, F.lit(1), i - 1).alias("head"), join(p, i, j - i + 1).alias("body"), F.when(j < n, join(p, j + 1, n - j)).otherwise(F.lit("")).alias("tail")))))
+        # a part's own separator goes to the head
+        runs = F.transform(runs, lambda r: F.transform(F.array(F.regexp_extract(r["body"], f"^[{sep}]*", 0)), lambda x: F.struct(F.concat(r["head"], x).alias("head"), F.substr(r["body"], F.length(x) + 1).alias("body"), r["tail"].alias("tail")))[0])
+        size = lambda r: F.length(F.regexp_replace(r["body"], f"[{sep}]", ""))
+        runs = F.filter(runs, lambda r: size(r).between(least, most))
+        return F.transform(F.array_sort(F.transform(runs, lambda r: F.struct((-size(r)).alias("n"), F.length(r["head"]).alias("at"), r.alias("r")))), lambda x: x["r"])
+
+    return F.transform(F.array(parts), cut)[0]
+
+
+def _best(m: Column, runs: Column, valid, new) -> tuple[Column, Column]:
+    """The first valid one of the runs, replaced within m."""
+    good = F.filter(runs, lambda r: valid(r["body"]))
+    return F.size(good) > 0, F.transform(good, lambda r: F.concat(r["head"], new(r["body"]), r["tail"]))[0]
+
+
 def _card(m: Column, key: str) -> tuple[Column, Column]:
-    d = _digits(m)
-    valid = (_luhn(d) % 10 == 0) & ~d.rlike("^0+$")
-    body = permuted_digits(F.substr(d, F.lit(1), F.length(d) - 1), "card", key)
-    whole = F.transform(F.array(body), lambda b: F.concat(b, ((10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))[0]
-    return valid, _refill(m, whole)
+    """13 to 19 digits; numbers beside a card's (a year, a check value), with separators, don't hide it."""
+
+    def valid(x: Column) -> Column:
+        d = _digits(x)
+        return (_luhn(d) % 10 == 0) & ~d.rlike("^0+$")
+
+    def new(x: Column) -> Column:
+        d = _digits(x)
+        body = permuted_digits(F.substr(d, F.lit(1), F.length(d) - 1), "card", key)
+        return F.transform(F.array(body), lambda b: _refill(x, F.concat(b, ((10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10).cast("string"))))[0]
+
+    return _best(m, _runs(m, " -", 13, 19, first=False), valid, new)
 
 
 def _iban(m: Column, key: str) -> tuple[Column, Column]:
-    d = F.replace(m, F.lit(" "), F.lit(""))
-    body = F.substr(d, F.lit(5))
-    valid = F.length(d).between(15, 34) & (_mod97(F.concat(body, F.substr(d, F.lit(1), F.lit(4)))) == 1) & (F.length(_digits(body)) >= 2)
-    new = _refill(body, permuted_digits(_digits(body), "iban", key))
-    check = F.transform(F.array(new), lambda b: F.lpad((98 - _mod97(F.concat(b, F.substr(d, F.lit(1), F.lit(2)), F.lit("00")))).cast("string"), 2, "0"))[0]
-    return valid, _refill(m, F.concat(check, _digits(new)))
+    """A capital word after the number doesn't hide it."""
+
+    def valid(x: Column) -> Column:
+        d = F.replace(x, F.lit(" "), F.lit(""))
+        body = F.substr(d, F.lit(5))
+        return (_mod97(F.concat(body, F.substr(d, F.lit(1), F.lit(4)))) == 1) & (F.length(_digits(body)) >= 2)
+
+    def new(x: Column) -> Column:
+        d = F.replace(x, F.lit(" "), F.lit(""))
+        body = F.substr(d, F.lit(5))
+        filled = _refill(body, permuted_digits(_digits(body), "iban", key))
+        check = F.transform(F.array(filled), lambda b: F.concat(F.lpad((98 - _mod97(F.concat(b, F.substr(d, F.lit(1), F.lit(2)), F.lit("00")))).cast("string"), 2, "0"), _digits(b)))[0]
+        return _refill(x, check)
+
+    return _best(m, _runs(m, " ", 15, 34, first=True), valid, new)
 
 
 def _date(m: Column, key: str) -> tuple[Column, Column]:
-    """Days from 1900-01-01 on, 270 x 271 of them, to 2100."""
+    """Days of three eras, each permuted in itself: the years 1 to 1899 (745 x 931 days), from 1900 on (270 x 271), and the rest to
+    9999 (2 x 1442647)."""
     iso, first = m.rlike("^\\d{4}-"), F.lit("1900-01-01").cast("date")
     part = lambda at, n: F.substr(m, F.lit(at), F.lit(n))
     make = lambda y, mo, d: F.concat_ws("-", y, mo, d).try_cast("date")
@@ -122,9 +165,11 @@ def _date(m: Column, key: str) -> tuple[Column, Column]:
     month_first = make(part(7, 4), part(1, 2), part(4, 2))
     date = F.when(iso, m.try_cast("date")).otherwise(F.coalesce(day_first, month_first))
     k = F.datediff(date, first)
-    valid = date.isNotNull() & (k >= 0) & (k < 270 * 271)
-    s = _permute(F.floor(k / 271), k % 271, F.lit(270), F.lit(271), "date", key)
-    new = F.transform(F.array(s), lambda p: F.date_add(first, (p["a"] * 271 + p["b"]).cast("int")))
+    valid = date.isNotNull() & k.between(-693595, 2958463)
+    era = lambda early, now, late: F.when(k < 0, F.lit(early)).when(k < 73170, F.lit(now)).otherwise(F.lit(late))
+    start, ra, rb = era(-693595, 0, 73170), era(745, 270, 2), era(931, 271, 1442647)
+    s = _permute(F.floor((k - start) / rb), (k - start) % rb, ra, rb, "date", key)
+    new = F.transform(F.array(s), lambda p: F.date_add(first, (p["a"] * rb + p["b"] + start).cast("int")))
     sep = part(3, 1)
     shown = F.transform(new, lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).when(day_first.isNotNull(), F.concat(F.date_format(d, "dd"), sep, F.date_format(d, "MM"), sep, F.date_format(d, "yyyy"))).otherwise(F.concat(F.date_format(d, "MM"), sep, F.date_format(d, "dd"), sep, F.date_format(d, "yyyy"))))
     return valid, shown[0]
@@ -161,11 +206,16 @@ def _secret(m: Column, key: str) -> tuple[Column, Column]:
     half = F.floor(F.length(low) / 2).cast("int")
 
     def add(x: Column, y: Column) -> Column:
-        total = F.transform(_chars(x), lambda c, i: F.substr(F.lit("0123456789abcdef"), F.pmod(F.conv(c, 16, 10).cast("int") + F.conv(F.substr(y, i + 1, F.lit(1)), 16, 10).cast("int"), F.lit(16)) + 1, F.lit(1)))
-        return F.array_join(total, "")
+        digit = lambda c: F.conv(c, 16, 10).cast("int")
+        return F.array_join(F.zip_with(_chars(x), _chars(y), lambda c, d: F.lower(F.hex((digit(c) + digit(d)) % 16).substr(-1, 1))), "")
+
+    def stream(s: Column, i: Column) -> Column:
+        """Hexadecimal digits, as many as the part that is replaced has."""
+        parts = F.transform(F.sequence(F.lit(0), F.floor(F.length(s["a"]) / 64).cast("int")), lambda k: F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.length(low).cast("string"), i.cast("string"), k.cast("string"), s["b"]), 256))
+        return F.substr(F.array_join(parts, ""), F.lit(1), F.length(s["a"]))
 
     def step(s: Column, i: Column) -> Column:
-        return F.struct(s["b"].alias("a"), add(s["a"], F.sha2(F.concat_ws("|", F.lit(key), F.lit("secret"), F.length(low).cast("string"), i.cast("string"), s["b"]), 256)).alias("b"))
+        return F.struct(s["b"].alias("a"), add(s["a"], stream(s, i)).alias("b"))
 
     s = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(F.substr(low, F.lit(1), half).alias("a"), F.substr(low, half + 1).alias("b")), step)
     new = F.concat(s["a"], s["b"])
@@ -187,11 +237,17 @@ def _replaced(m: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, keep: list[str] | None = None) -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The key in the Spark setting SETTING; where that is unset, a random one for this call, so that nothing can be inverted."""
+    return spark.conf.get(SETTING, None) or secrets.token_hex(32)
+
+
+def pseudonymise(docs: DataFrame, key: str, keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` of docs (doc_id, if not given), with text (pseudonymised), n_found and kinds, for each row.
 
     kinds: the sorted distinct kinds found (mail, secret, iban, date, ip, ssn, card, phone). A null text stays null, with
-    nothing found; texts without personal data come out as they are. Texts are read whole, and in time in proportion to
+    nothing found; texts without personal data come out as they are. The same key gives the same pseudonyms. Not found are what
+    fails its check, numbers of other lengths than their standards allow, and hexadecimal runs of less than 32 digits. Texts are read whole, and in time in proportion to
     their length. Repeated rows come out as often as they go in; null ids are kept; other columns are ignored.
     """
     keep = keep or ["doc_id"]

@@ -15,7 +15,7 @@ from colophon.llm.language import identify
 from colophon.llm.line_dedup import line_dedup
 from colophon.llm.lm_score import lm_scores
 from colophon.llm.packing import pack
-from colophon.llm.privacy import pseudonymise
+from colophon.llm.privacy import key_of, pseudonymise
 from colophon.llm.quality import quality
 from colophon.llm.simhash import simhash_components
 
@@ -49,7 +49,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by pseudonyms of the same format."""
-    return pseudonymise(_table(spark, sf_dir, "documents"))
+    return pseudonymise(_table(spark, sf_dir, "documents"), key_of(spark))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
