@@ -8,7 +8,6 @@ bad labels, and the score is shifted so that the threshold becomes 0.7.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ from colophon.llm._common import materialise, small
 #: Labelled rows in the sample, by halves of either label; steps of a feature; pairs; passes; penalty; the cut's score.
 SAMPLE, STEPS, PAIRS, ROUNDS, PENALTY, CUT = 6000, 12, 40_000, 300, 1e-3, 0.7
 _PUNCT = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
-_UPPER_WORD = re.compile(r"\b[^\W\d_]{2,}\b")
 
 
 def features(text: str | None) -> np.ndarray:
@@ -90,13 +88,18 @@ def _with_features(rows: DataFrame, keep: list[str]) -> DataFrame:
     return data.mapInArrow(run, f"{fields}, x binary")
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and quality of the ids that have a label, and only one."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
+    return known.where("quality = most").select("doc_id", "quality")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | None:
     """The ranking from labelled texts, at most sample/2 ids of either label, drawn by a hash; None if a label has no text.
 
     labels: doc_id, quality; an id with both labels, or a null id or label, teaches nothing.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
-    known = known.where("quality = most").select("doc_id", "quality", F.xxhash64("doc_id").alias("h"))
+    known = known_labels(labels).withColumn("h", F.xxhash64("doc_id"))
     picked = [known.where(F.col("quality") == q).orderBy("h", "doc_id").limit(sample // 2).select("doc_id", "quality") for q in (0, 1)]
     picked = small(materialise(picked[0].unionByName(picked[1]), "sample"))
     rows = docs.select("doc_id", "text").join(picked, "doc_id")
@@ -129,7 +132,7 @@ def quality(docs: DataFrame, labels: DataFrame, training: Column | None = None,
     scored = materialise(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, s double"), "scores")
     if model is None:
         return scored.select("doc_id", F.lit(0.5).alias("score"), F.lit(0).alias("predicted"))
-    marks = taught.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    marks = known_labels(taught)
     own = scored.join(marks, "doc_id")
     share = own.agg(F.avg(1 - F.col("quality"))).first()[0]
     cut = own.agg(F.percentile_approx("s", F.lit(float(share)), F.lit(100_000))).first()[0]
