@@ -5,17 +5,13 @@ tokens before it in its task. The totals of the tasks (one row each) give global
 written rows, with their task's offset, are cut wherever the global position is a multiple of the sequence length, and each
 piece is a boundary record. No ids are shuffled, and a text is tokenised once.
 
-Text is tokenised by words: byte-level BPE never joins a space with the non-space before it, so texts without two adjacent
-white-space characters can be cut before each space, and each distinct word is encoded once while it stays in a bounded cache.
-Other texts are encoded whole by tokenizers. The merges of single words are applied by tiktoken, from the vocabulary of the same
-tokenizers file, where that file is a plain byte-level BPE whose ids are its merge ranks (the ids are the same, in a quarter of
-the time); else by tokenizers too.
+Whole texts are encoded by tiktoken, from the vocabulary of the tokenizers file, where that file is a plain byte-level BPE whose
+ids are its merge ranks (the ids are the same, in a quarter of the time); else by tokenizers.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -30,9 +26,7 @@ from colophon.llm._common import materialise, small
 LENGTH = 2048
 #: Fixed value: the public pattern by which byte-level BPE cuts text before merging.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Most words that a worker remembers in each of two generations.
-CACHE = 200_000
-_workers: dict[str, _Words] = {}
+_workers: dict[str, _Encoder] = {}
 
 
 def _ranked(spec: dict):
@@ -56,58 +50,22 @@ def _ranked(spec: dict):
     return tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
-class _Words:
+class _Encoder:
     """ids of texts as bytes of unsigned 16-bit (or, for large vocabularies, 32-bit) numbers."""
 
-    def __init__(self, path: str, keep: int = CACHE):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.keep = keep
-        self.pairs = re.compile(r"\s\s")
         self.ranked = _ranked(json.loads(self.tokenizer.to_str()))
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        kind = self.kind
-        return [np.array(e.ids, kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word_ids(self, words: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranked is None:
-            return self._ids(words)
+            return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         code, kind = self.ranked.encode_ordinary, "H" if self.kind.itemsize == 2 else "I"
-        return [array(kind, code(w)).tobytes() for w in words]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        need: set[str] = set()
-        for t in texts:
-            if self.pairs.search(t):
-                cut.append(None)
-                continue
-            words = t.split(" ")
-            first = words[0]
-            words = [f" {w}" for w in words[1:]]
-            if first:
-                words.insert(0, first)
-            cut.append(words)
-            need.update(words)
-        need.difference_update(self.new)
-        again = [w for w in need if w in self.old]
-        fresh = [w for w in need if w not in self.old]
-        for w in again:
-            self.new[w] = self.old[w]
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            self.new.update(zip(part, self._word_ids(part), strict=True))
-        get = self.new.__getitem__
-        out = [self._ids([t])[0] if words is None else b"".join(map(get, words)) for t, words in zip(texts, cut, strict=True)]
-        if len(self.new) > self.keep:
-            self.old, self.new = self.new, {}
-        return out
+        return [array(kind, code(t)).tobytes() for t in texts]
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
@@ -118,13 +76,13 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        words = _workers.get(tokenizer) or _workers.setdefault(tokenizer, _Words(tokenizer))
-        end = np.array([end_id], words.kind).tobytes()
+        encoder = _workers.get(tokenizer) or _workers.setdefault(tokenizer, _Encoder(tokenizer))
+        end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                ids = [x + end for x in words.encode([t or "" for t in rows.column("text").to_pylist()])]
-                n = np.array([len(x) // words.kind.itemsize for x in ids], np.int64)
+                ids = [x + end for x in encoder.encode([t or "" for t in rows.column("text").to_pylist()])]
+                n = np.array([len(x) // encoder.kind.itemsize for x in ids], np.int64)
                 first = before + np.cumsum(n) - n
                 before += int(n.sum())
                 cols = [pa.array(np.full(len(n), part, np.int32)), pa.array(first), rows.column("doc_id"), pa.array(n), pa.array(ids, pa.binary())]

@@ -1,10 +1,12 @@
 """Pseudonyms, packing, language, quality, page text and language-model scores."""
 
+import hashlib
 import math
 import random
 import re
 import zlib
 from collections import Counter
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -52,7 +54,47 @@ def test_pseudonyms(spark):
     assert [got[k]["kinds"] for k in (1, 2, 3, 4)] == [["card", "ip", "mail"], ["card", "iban"], ["date"], ["phone", "secret", "ssn"]]
     assert got[5]["text"] is None and got[6]["text"] == "" and got[7]["text"] == rows[6][1] and got[7]["n_found"] == 0
     assert got[8]["text"] == rows[7][1].replace("10.1.2.3", ip) and got[None]["text"] == ip
-    assert privacy.pseudonymise(docs_of(spark, [])).count() == 0
+    assert privacy.pseudonymise(docs_of(spark, []), "key").count() == 0
+
+
+def test_pseudonyms_beside_other_numbers(spark):
+    rows = [
+        (1, "card 4111 1111 1111 1111 12/25"), (2, "4111111111111111 123"), (3, "no 12 4111-1111-1111-1111"), (4, "BE68 5390 0754 7034 BIC"), (5, "0987-06-05 and 2525-01-01 and 9999-12-31"),
+        (6, "a" * 90 + "@example.com"), (7, "key " + "0f" * 150), (8, "4111 1111 1111 1111 1111 1111"), (9, "4111 1111 1111 1112 12/25"),
+    ]
+    got = {k: r["text"] for k, r in pseudonyms(spark, rows).items()}
+    card = re.fullmatch(r"card (\d{4} \d{4} \d{4} \d{4}) 12/25", got[1])[1].replace(" ", "")
+    assert luhn(card) and got[2] == f"{card} 123" and got[3].replace("-", "") == f"no 12 {card}"
+    assert re.fullmatch(r"BE\d\d \d{4} \d{4} \d{4} BIC", got[4]) and got[4] != rows[3][1]
+    dates = re.findall(r"\d{4}-\d\d-\d\d", got[5])
+    assert len(dates) == 3 and "0001" <= dates[0][:4] < "1900" and all("2100" <= d[:4] for d in dates[1:]) and got[5] != rows[4][1]
+    assert "aaa" not in got[6] and re.fullmatch("key [0-9a-f]{300}", got[7]) and got[7] != rows[6][1] and got[9] == rows[8][1]
+
+
+def plain_network(a, b, range_a, range_b, tag, key):
+    for i in range(1, privacy.ROUNDS + 1):
+        m = range_a if i % 2 else range_b
+        a, b = b, (a + int(hashlib.sha256(f"{key}|{tag}|{range_a}|{range_b}|{i}|{b}".encode()).hexdigest()[:15], 16)) % m
+    return a, b
+
+
+def test_pseudonyms_are_those_of_plain_arithmetic(spark):
+    rng = random.Random(3)
+    ips = [tuple(rng.randrange(256) for _ in range(4)) for _ in range(40)]
+    days = [date(1900, 1, 1) + timedelta(rng.randrange(73170)) for _ in range(40)]
+    ssn = [(rng.choice([1, 300, 665, 667, 899]), rng.randint(1, 99), rng.randint(1, 9999)) for _ in range(40)]
+    cards = [x + str(next(c for c in range(10) if luhn(x + str(c)))) for x in ("".join(rng.choice("123456789") for _ in range(15)) for _ in range(40))]
+    rows = [(k, f"{'.'.join(map(str, ips[k]))} {days[k]} {ssn[k][0]:03}-{ssn[k][1]:02}-{ssn[k][2]:04} x {cards[k]}") for k in range(40)]
+    got = pseudonyms(spark, rows)
+    for k in range(40):
+        a, b = plain_network(ips[k][0] * 256 + ips[k][1], ips[k][2] * 256 + ips[k][3], 65536, 65536, "ip", "key")
+        n = (days[k] - date(1900, 1, 1)).days
+        c, d = plain_network(n // 271, n % 271, 270, 271, "date", "key")
+        e, f = plain_network(ssn[k][0] - 1 - (ssn[k][0] > 666), (ssn[k][1] - 1) * 9999 + ssn[k][2] - 1, 898, 99 * 9999, "ssn", "key")
+        g, h = plain_network(int(cards[k][:7]), int(cards[k][7:15]), 10**7, 10**8, "card", "key")
+        whole = f"{g:07}{h:08}"
+        want = f"{a // 256}.{a % 256}.{b // 256}.{b % 256} {date(1900, 1, 1) + timedelta(c * 271 + d)} {e + 1 + (e >= 665):03}-{f // 9999 + 1:02}-{f % 9999 + 1:04} x {whole}{next(x for x in range(10) if luhn(whole + str(x)))}"
+        assert got[k]["text"] == want
 
 
 def test_permutation_is_one_to_one_and_inverts(spark):
