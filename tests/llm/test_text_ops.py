@@ -301,7 +301,55 @@ def test_lm_scores(spark, chunk):
 def test_classes_sum_to_one():
     rng = np.random.default_rng(1)
     w = rng.normal(size=(1 + 2 * lm_score.CLASSES + lm_score.PAIRS, lm_score.CLASSES)).astype(np.float32)
-    assert np.allclose((10 ** lm_score.class_table(w).astype(float)).sum(axis=2), 1, atol=1e-4)
+    assert np.allclose(lm_score.class_table(w).sum(axis=2), 1, atol=1e-4)
+
+
+def test_model_is_that_of_plain_counting(spark):
+    """Scores from dictionaries of counts, and the sum over all words, known or not."""
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice(["red", "blue", "greenish", "yellowish", "a", "of"][: 3 + k % 4]) for _ in range(rng.randint(0, 12)))) for k in range(80)]
+    docs, held = docs_of(spark, rows), F.col("doc_id") % 4 == 0
+    m = lm_score.fit(docs, held)[0]
+    cls = lambda w: lm_score.END if w is None else lm_score.START if w == "" else lm_score.word_class(w.encode())
+    own = lambda w: zlib.crc32(w.encode()) >> 24 if w else 0
+    group = lambda w: cls(w) * lm_score.GROUPS + own(w) % lm_score.GROUPS
+    before = lambda w: cls(w) * lm_score.BEFORE + own(w) // lm_score.GROUPS % lm_score.BEFORE
+    tokens = lambda t: [(u, v, w) for u, v, w in zip(["", "", *t.split()], ["", *t.split()], [*t.split(), None], strict=False)]
+    train = [x for k, t in rows if k % 4 for x in tokens(t)]
+    words = Counter(w for _, _, w in train)
+    size, kinds = Counter(), Counter()
+    for w, c in words.items():
+        size[group(w)] += c
+        kinds[group(w)] += w is not None
+    mass = {g: size[g] + (kinds[g] + 1 if g // lm_score.GROUPS != lm_score.END else 1) for g in [*range(lm_score.END * lm_score.GROUPS), lm_score.END * lm_score.GROUPS]}
+    in_class = Counter()
+    for g, x in mass.items():
+        in_class[g // lm_score.GROUPS] += x
+    after = [Counter((before(x[1 - j]), group(x[2])) for x in train) for j in (0, 1)]
+    after_class = [Counter((before(x[1 - j]), cls(x[2])) for x in train) for j in (0, 1)]
+    after_all = [Counter(before(x[1 - j]) for x in train) for j in (0, 1)]
+    d = lm_score.DRAW
+
+    def chance(u, v, c, g):
+        h = before(v), before(u)
+        share = mass.get(g, 0) / in_class[c]
+        of_class = [m.triples[cls(u), cls(v), c], *((after_class[j][h[j], c] + d * in_class[c] / sum(mass.values())) / (after_all[j][h[j]] + d) for j in (0, 1))]
+        of_group = [share, *((after[j][h[j], g] + d * share) / (after_class[j][h[j], c] + d) for j in (0, 1))]
+        return float(m.mix[0] @ np.array(of_class)) * float(m.mix[1] @ np.array(of_group))
+
+    got = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(docs, held).collect()}
+    for k, t in rows[::7]:
+        want = sum(math.log10(chance(u, v, cls(w), group(w)) * (1 if w is None else (words[w] + 1) / (size[group(w)] + kinds[group(w)] + 1))) for u, v, w in tokens(t))
+        assert math.isclose(got[k], want, rel_tol=1e-4)
+    for u, v in (("", ""), ("red", "of"), ("never", "seen")):
+        assert math.isclose(sum(chance(u, v, g // lm_score.GROUPS, g) for g in mass), 1, rel_tol=1e-4)  # a group's words, and its unknown ones, share it wholly
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(0)
+    arrays = [rng.integers(0, 99, 1000).astype("<i4"), np.empty(0, "<i8"), rng.integers(-(2**62), 2**62, 7), np.array([1], np.uint8)]
+    back = lm_score._unpacked(lm_score._packed(*arrays))
+    assert all(x.dtype == y.dtype and (x == y).all() for x, y in zip(arrays, back, strict=True))
 
 
 def test_contexts_start_anew_in_each_text():
