@@ -71,7 +71,7 @@ def relevance_sql(p: Profile, title: str, abstract: str) -> str:
 
 def any_of(terms: list[str]) -> str:
     """A pattern for any of the terms between ASCII word bounds, the same in Java, Python and RE2."""
-    return "(^|[^a-z0-9])(" + "|".join(re.escape(t).replace(r"\ ", " ") for t in terms) + ")"
+    return "(^|[^a-z0-9])(" + "|".join(re.escape(t).replace(r"\ ", " ") for t in terms) + ")($|[^a-z0-9])"
 
 
 def drop_reason(score: Column, text: Column, least: int, modality: str, signal: str, hard: str, general: str) -> Column:

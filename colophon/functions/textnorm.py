@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Words that carry no meaning in a title, and suffixes in the order in which they are tried.
 STOP = (
     "a an the of on in for to and or with without via using by from at as is are be am towards toward into over under our new we its it "
-    "their this that these those can do does more than not no all any some such very much many you they he she"
+    "their this that these those can do does more than not no all any some such very much many you we they he she"
 ).split()
 SUFFIXES = ("ations", "ation", "ings", "ing", "edly", "ed", "es", "s")
 # Unicode dashes and spaces that printed names use.

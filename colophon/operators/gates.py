@@ -39,7 +39,7 @@ def registry_gates(df: DataFrame, name: str, required: list[str], id_pattern: st
 
 def cell_reasons(cells: DataFrame, benchmarks: DataFrame, models: DataFrame) -> DataFrame:
     """GT-02, JN-01: bad cells with their first failing reason, in order: unknown benchmark, unknown model, empty value, metric, source."""
-    b, m = benchmarks.select(F.col("id").alias("benchmark"), F.lit(True).alias("_b")), models.select(F.col("id").alias("model"), F.lit(True).alias("_m"))
+    b, m = benchmarks.select(F.col("id").alias("benchmark"), F.lit(True).alias("_b")).distinct(), models.select(F.col("id").alias("model"), F.lit(True).alias("_m")).distinct()
     rows = cells.join(b, "benchmark", "left").join(m, "model", "left")
     reason = (
         F.when(F.col("_b").isNull(), "unknown benchmark").when(F.col("_m").isNull(), "unknown model").when(missing(F.col("value")), "empty value")

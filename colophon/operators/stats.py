@@ -75,14 +75,8 @@ def cooccurrence(df: DataFrame, item: str, tag: str) -> DataFrame:
 
 def disagreements(cells: DataFrame) -> DataFrame:
     """AG-37, PR-03: (benchmark, model, metric) with several values, all of which are shown."""
-    per = cells.groupBy("benchmark", "model", "metric").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("value")).alias("vals"))
-    return per.where(F.size("vals") > 1).select("benchmark", "model", "metric", "n", F.size("vals").cast("long").alias("n_values"), F.element_at("vals", 1).alias("low"), F.element_at("vals", -1).alias("high"))
-
-
-def upper_median(df: DataFrame, col: str) -> Column:
-    """AG-29: the element at n div 2 (from zero) of the sorted values, as an aggregate; not the interpolated median."""
-    sorted_values = F.array_sort(F.collect_list(col))
-    return F.get(sorted_values, F.floor(F.size(sorted_values) / 2).cast("int"))
+    per = cells.groupBy("benchmark", "model", "metric").agg(F.count("*").alias("n"), F.count_distinct("value").alias("n_values"), F.min("value").alias("low"), F.max("value").alias("high"))
+    return per.where("n_values > 1")
 
 
 def weighted_mode(df: DataFrame, keys: list[str], value: str, weight: Column) -> DataFrame:

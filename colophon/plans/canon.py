@@ -46,19 +46,19 @@ def scale_labels(spark: SparkSession, d: str) -> DataFrame:
     return op.scale_guard(rows, rows).groupBy(F.col("metric").alias("label")).agg(F.count("*").alias("n"))
 
 
-@query("min_cells", with_views(CELLS, _FIRST, "k AS (SELECT * FROM f WHERE rn = 1 AND value > 45)", "m AS (SELECT model FROM k GROUP BY 1 HAVING count(*) >= 20)") + " SELECT benchmark, model, metric, value FROM k WHERE model IN (SELECT model FROM m)")
+@query("min_cells", with_views(CELLS, _FIRST, "k AS (SELECT * FROM f WHERE rn = 1)", "m AS (SELECT model FROM k GROUP BY 1 HAVING count(*) >= 20)") + " SELECT benchmark, model, metric, value FROM k WHERE model IN (SELECT model FROM m)")
 def min_cells(spark: SparkSession, d: str) -> DataFrame:
-    kept = op.dedup_authority(cells(spark, d), LINE_ORDER).where("value > 45")
+    kept = op.dedup_authority(cells(spark, d), LINE_ORDER)
     return op.enough_cells(kept, 20).select("benchmark", "model", "metric", "value")
 
 
 _BUCKET = "CASE WHEN value < 3 THEN 'not_a_model' WHEN value < 6 THEN 'unknown_benchmark' ELSE 'unmapped_model' END"
 
 
-@query("refusal_ledger", with_views(CELLS, f"r AS (SELECT {_BUCKET} AS bucket, model AS name, benchmark, source, metric FROM v_cells WHERE value < 9)", "b AS (SELECT bucket, name, array_to_string(list_sort(list(DISTINCT benchmark))[1:8], ',') AS benchmarks FROM r GROUP BY 1, 2)") + " SELECT bucket, name, count(*) AS cells, count(DISTINCT benchmark) AS n_benchmarks, count(DISTINCT source) AS n_papers, count(DISTINCT metric) AS n_metrics, any_value(benchmarks) AS benchmarks FROM r JOIN b USING (bucket, name) GROUP BY 1, 2")
+@query("refusal_ledger", with_views(CELLS, f"r AS (SELECT {_BUCKET} AS bucket, model AS name, benchmark, source, metric FROM v_cells)", "b AS (SELECT bucket, name, array_to_string(list_sort(list(DISTINCT benchmark))[1:8], ',') AS benchmarks FROM r GROUP BY 1, 2)") + " SELECT bucket, name, count(*) AS cells, count(DISTINCT benchmark) AS n_benchmarks, count(DISTINCT source) AS n_papers, count(DISTINCT metric) AS n_metrics, any_value(benchmarks) AS benchmarks FROM r JOIN b USING (bucket, name) GROUP BY 1, 2")
 def refusal_ledger(spark: SparkSession, d: str) -> DataFrame:
     bucket = F.when(F.col("value") < 3, "not_a_model").when(F.col("value") < 6, "unknown_benchmark").otherwise("unmapped_model")
-    return op.refusals(cells(spark, d).where("value < 9"), bucket, F.col("model"))
+    return op.refusals(cells(spark, d), bucket, F.col("model"))
 
 
 @query("benchmark_index", "WITH n AS (SELECT regexp_replace(lower(x), '[^a-z0-9]', '', 'g') AS key, p_brand || '-' || p_size AS id, p_partkey AS ord, pos FROM (SELECT *, p_brand || '-' || p_size AS x, 0 AS pos FROM part UNION ALL SELECT *, p_name, 1 FROM part UNION ALL SELECT *, p_type, 2 FROM part)) SELECT key, arg_min(id, struct_pack(o := ord, p := pos)) AS id FROM n WHERE key <> '' GROUP BY 1")

@@ -20,14 +20,14 @@ def fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(k.alias("id"), fp.alias("fp"))
 
 
-_MEMBERS = "mem AS (SELECT DISTINCT p_brand AS g, l_returnflag || l_linestatus AS member, l_shipdate::DATE::VARCHAR AS model, max(l_quantity) AS value FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size < 12 GROUP BY 1, 2, 3)"
+_MEMBERS = "mem AS (SELECT DISTINCT p_brand AS g, l_returnflag || l_linestatus AS member, l_shipdate::DATE::VARCHAR AS model, max(l_quantity) AS value FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2, 3)"
 
 
 @query("alias_connectivity", f"""WITH RECURSIVE {_MEMBERS}, e AS (SELECT a.g, a.member AS a, b.member AS b FROM mem a JOIN mem b ON a.g = b.g AND a.model = b.model AND a.value = b.value AND a.member < b.member GROUP BY 1, 2, 3 HAVING count(DISTINCT a.model) >= 3 AND count(DISTINCT a.value) FILTER (a.value NOT IN (0, 1, 100)) >= 3),
  two AS (SELECT g, a, b FROM e UNION SELECT g, b, a FROM e), w AS (SELECT g, min(member) AS m FROM mem GROUP BY 1 UNION SELECT w.g, two.b FROM w JOIN two ON two.g = w.g AND two.a = w.m)
  SELECT g AS grp, (SELECT count(DISTINCT member) FROM mem WHERE mem.g = w.g) AS n_members, count(DISTINCT m) AS n_reached FROM w GROUP BY 1""")
 def alias_connectivity(spark: SparkSession, d: str) -> DataFrame:
-    line, part = table(spark, d, "lineitem"), table(spark, d, "part").where("p_size < 12")
+    line, part = table(spark, d, "lineitem"), table(spark, d, "part")
     rows = line.join(part, line["l_partkey"] == part["p_partkey"]).groupBy(F.col("p_brand").alias("group"), F.concat("l_returnflag", "l_linestatus").alias("member"), F.to_date("l_shipdate").cast("string").alias("model")).agg(F.max("l_quantity").alias("value"))
     return A.connectivity(rows.withColumn("paper", F.col("member")).withColumn("metric", F.col("member"))).select(F.col("group").alias("grp"), "n_members", "n_reached")
 
@@ -39,9 +39,9 @@ def metric_options(spark: SparkSession, d: str) -> DataFrame:
     return A.option_counts(rows, assigned)
 
 
-@query("metric_index", with_views(CELLS) + " SELECT benchmark, 'raw:' || metric AS key, model, array_to_string(list(source ORDER BY source), ',') AS cells FROM v_cells WHERE value > 48 GROUP BY 1, 2, 3")
+@query("metric_index", with_views(CELLS) + " SELECT benchmark, 'raw:' || metric AS key, model, array_to_string(list(source ORDER BY source), ',') AS cells FROM v_cells GROUP BY 1, 2, 3")
 def metric_index(spark: SparkSession, d: str) -> DataFrame:
-    rows = cells(spark, d).where("value > 48").select("benchmark", "model", "metric", F.xxhash64(*LINE_ORDER).alias("fp"), F.col("source").alias("ord"))
+    rows = cells(spark, d).select("benchmark", "model", "metric", F.xxhash64(*LINE_ORDER).alias("fp"), F.col("source").alias("ord"))
     index = A.metric_index(rows, rows.limit(0).select("fp", F.lit("x").alias("group")))
     return index.withColumn("cells", F.array_join(F.col("cells").cast("array<string>"), ","))
 
@@ -82,16 +82,16 @@ def corrections_query(spark: SparkSession, d: str) -> DataFrame:
     return corrections.fold(records, change.unionByName(delete).unionByName(insert)).where("fields is not null").select("id", F.col("fields")["segment"].alias("segment"))
 
 
-@query("best_metric_column", with_views(CELLS, "p AS (SELECT benchmark, metric, count(DISTINCT model) AS models FROM v_cells WHERE value > 40 GROUP BY 1, 2)") + " SELECT benchmark, metric, models, count(*) OVER (PARTITION BY benchmark) - 1 AS others FROM p QUALIFY row_number() OVER (PARTITION BY benchmark ORDER BY (metric LIKE '%O') DESC, models DESC, metric) = 1")
+@query("best_metric_column", with_views(CELLS, "p AS (SELECT benchmark, metric, count(DISTINCT model) AS models FROM v_cells GROUP BY 1, 2)") + " SELECT benchmark, metric, models, count(*) OVER (PARTITION BY benchmark) - 1 AS others FROM p QUALIFY row_number() OVER (PARTITION BY benchmark ORDER BY (metric LIKE '%O') DESC, models DESC, metric) = 1")
 def best_metric_column(spark: SparkSession, d: str) -> DataFrame:
-    return present.best_metric(cells(spark, d).where("value > 40"), F.col("metric").endswith("O"))
+    return present.best_metric(cells(spark, d), F.col("metric").endswith("O"))
 
 
 _BRANDS = [f"Brand#1{k}" for k in range(1, 6)]
 _KEPT = f"f AS (SELECT *, row_number() OVER (PARTITION BY benchmark, model, metric ORDER BY own DESC, {ORDER_SQL}) AS rn FROM v_cells)"
 
 
-@query("matrix_pivot", with_views(CELLS, _KEPT, "w AS (SELECT model, " + ", ".join(f"max(CASE WHEN benchmark = '{b}' THEN value END) AS {b.lower().replace('#', '_')}" for b in _BRANDS) + " FROM f WHERE rn = 1 AND metric = 'A/F' AND value > 20 GROUP BY 1)") + " SELECT *, " + " + ".join(f"({b.lower().replace('#', '_')} IS NOT NULL)::INT" for b in _BRANDS) + " AS covered FROM w")
+@query("matrix_pivot", with_views(CELLS, _KEPT, "w AS (SELECT model, " + ", ".join(f"max(CASE WHEN benchmark = '{b}' THEN value END) AS {b.lower().replace('#', '_')}" for b in _BRANDS) + " FROM f WHERE rn = 1 AND metric = 'A/F' GROUP BY 1)") + " SELECT *, " + " + ".join(f"({b.lower().replace('#', '_')} IS NOT NULL)::INT" for b in _BRANDS) + " AS covered FROM w")
 def matrix_pivot(spark: SparkSession, d: str) -> DataFrame:
-    kept = canon.dedup_authority(cells(spark, d), LINE_ORDER).where("metric = 'A/F' and value > 20")
+    kept = canon.dedup_authority(cells(spark, d), LINE_ORDER).where("metric = 'A/F'")
     return present.matrix(kept, _BRANDS)

@@ -53,11 +53,11 @@ def batching(spark: SparkSession, d: str) -> DataFrame:
 
 _MENTIONS = r"""v_mentions AS (SELECT l_orderkey * 10 + l_linenumber AS ord, p_name AS name, p_type AS title,
   CASE WHEN l_partkey % 3 = 0 THEN '2501.' || (10000 + l_partkey // 4) END AS paper
-  FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1) JOIN part ON p_partkey = l_partkey WHERE l_orderkey % 4 = 0)"""
+  FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) = 1) JOIN part ON p_partkey = l_partkey)"""
 
 
 def _mentions(spark: SparkSession, d: str) -> DataFrame:
-    line, part = table(spark, d, "lineitem").where("l_orderkey % 4 = 0"), table(spark, d, "part")
+    line, part = table(spark, d, "lineitem"), table(spark, d, "part")
     line = line.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")).alias("r"))
     rows = line.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("r.l_partkey").alias("p_partkey")).join(part, "p_partkey")
     k = F.col("p_partkey")
@@ -103,11 +103,11 @@ def ledger_outcome(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", outcome(F.coalesce("known", F.lit(False)), F.col("verdict"), F.col("status"), F.col("status") != "error", "^(view|new)").alias("outcome"))
 
 
-@query("ledger_upsert", "SELECT coalesce(a.id, b.id) AS id, coalesce(a.v, b.v) AS score, a.id IS NOT NULL AS fresh FROM (SELECT o_orderkey AS id, nullif(o_totalprice, 0) AS v FROM orders WHERE o_orderkey % 3 = 0) a FULL JOIN (SELECT event_id AS id, value AS v FROM events WHERE event_id % 2 = 0) b ON a.id = b.id")
+@query("ledger_upsert", "SELECT coalesce(a.id, b.id) AS id, coalesce(a.v, b.v) AS score, a.id IS NOT NULL AS fresh FROM (SELECT o_orderkey AS id, nullif(o_totalprice, 0) AS v FROM orders) a FULL JOIN (SELECT event_id AS id, value AS v FROM events) b ON a.id = b.id")
 def ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
     """JN-06, SNK-09: fields of the new rows over those of the previous ledger."""
-    new = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"), F.lit(True).alias("fresh"))
-    old = table(spark, d, "events").where("event_id % 2 = 0").select(F.col("event_id").alias("id"), F.col("value").alias("w"))
+    new = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("v"), F.lit(True).alias("fresh"))
+    old = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("value").alias("w"))
     return new.join(old, "id", "full_outer").select("id", F.coalesce("v", "w").alias("score"), F.coalesce("fresh", F.lit(False)).alias("fresh"))
 
 

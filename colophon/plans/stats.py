@@ -65,14 +65,14 @@ def adoption_hist(spark: SparkSession, d: str) -> DataFrame:
     return per.groupBy("papers").agg(F.count("*").alias("benchmarks"))
 
 
-@query("self_reported_only", with_views(CELLS, "p AS (SELECT model, bool_and(own) AS o FROM v_cells WHERE value > 49 GROUP BY 1)") + " SELECT count(*) FILTER (NOT o) AS run_by_others, count(*) FILTER (o) AS only_self FROM p")
+@query("self_reported_only", with_views(CELLS, "p AS (SELECT model, bool_and(own) AS o FROM v_cells GROUP BY 1)") + " SELECT count(*) FILTER (NOT o) AS run_by_others, count(*) FILTER (o) AS only_self FROM p")
 def self_reported_only(spark: SparkSession, d: str) -> DataFrame:
-    return op.self_reported(cells(spark, d).where("value > 49"), "model")
+    return op.self_reported(cells(spark, d), "model")
 
 
-@query("median_models", with_views(CELLS, "p AS (SELECT metric || benchmark AS k, count(DISTINCT model) AS n FROM v_cells WHERE value > 45 GROUP BY 1)") + " SELECT median(n) AS median_models FROM p")
+@query("median_models", with_views(CELLS, "p AS (SELECT metric || benchmark AS k, count(DISTINCT model) AS n FROM v_cells GROUP BY 1)") + " SELECT median(n) AS median_models FROM p")
 def median_models(spark: SparkSession, d: str) -> DataFrame:
-    rows = cells(spark, d).where("value > 45").withColumn("k", F.concat("metric", "benchmark"))
+    rows = cells(spark, d).withColumn("k", F.concat("metric", "benchmark"))
     return op.median_of_distinct(rows, "k", "model", "median_models")
 
 

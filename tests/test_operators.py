@@ -143,11 +143,6 @@ def test_chains_and_cycles(spark):
     assert got["x"][1] and got["y"][1]
 
 
-def test_upper_median(spark):
-    df = spark.createDataFrame([(k,) for k in (1, 2, 3, 4)], "x int")
-    assert df.agg(stats.upper_median(df, "x").alias("m")).first()["m"] == 3
-
-
 def test_gates_raise_before_writing(spark, tmp_path):
     df = spark.createDataFrame([("ok-1", "n"), ("Bad Id", ""), ("ok-1", "m")], "id string, name string")
     v = gates.union(gates.registry_gates(df, "model", ["name"]))
