@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.plans.registry import query
 from colophon.sources import parsers as P
 from colophon.sources.sinks import stats_document
-from colophon.sources.tables import shared_dir, table
+from colophon.sources.tables import scratch, table
 from colophon.streaming import crawl
 
 
@@ -64,7 +62,7 @@ def stats_json(spark: SparkSession, d: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf_dir: str, make, name: str) -> DataFrame:
     """The table of events as a file stream, through make, appended to a table of its own until all is read."""
-    path = f"{shared_dir(spark)}/colophon-stream-{uuid.uuid4().hex}-{name}"
+    path = scratch(spark, f"stream-{name}")
     stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
     out = make(stream)
     crawl.run_once(out, f"{path}/out", f"{path}/checkpoint")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -14,6 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table as a lazy DataFrame; the path may be on any file system that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+_made: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; it goes when the driver's Python ends, as results may be read until then."""
+    path = f"{shared_dir(spark)}/colophon-{uuid.uuid4().hex}-{name}"
+    if not _made:
+        atexit.register(_drop)
+    _made.append((spark, path))
+    return path
+
+
+def _drop() -> None:
+    for spark, path in _made:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session may have ended first
+            return
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset and Spark runs in one process."""
