@@ -17,12 +17,6 @@ def benchmark_index(catalogue: DataFrame) -> DataFrame:
     return keyed.groupBy("key").agg(F.min_by("id", F.struct("ord", "pos")).alias("id"))
 
 
-def ranked(cells: DataFrame, order: list[str]) -> DataFrame:
-    """Cells with their rank within (benchmark, model, metric): the benchmark's own results first, then input order."""
-    w = Window.partitionBy(*KEYS).orderBy(F.col("own").desc(), *order)
-    return cells.withColumn("rank", F.row_number().over(w)).withColumn("kept_value", F.first("value").over(w))
-
-
 def dedup_authority(cells: DataFrame, order: list[str]) -> DataFrame:
     """WN-01: the first cell of each (benchmark, model, metric). A minimum over structs, combined before the shuffle."""
     first = F.min_by(F.struct(*[c for c in cells.columns if c not in KEYS]), F.struct((~F.col("own")).alias("_not_own"), *order))
@@ -30,8 +24,12 @@ def dedup_authority(cells: DataFrame, order: list[str]) -> DataFrame:
 
 
 def conflicts(cells: DataFrame, order: list[str]) -> DataFrame:
-    """WN-01: cells that lost against one with another value, with both values."""
-    return ranked(cells, order).where((F.col("rank") > 1) & (F.col("value").cast("string") != F.col("kept_value").cast("string"))).select(*KEYS, "kept_value", "value")
+    """WN-01: cells with another value than the one kept of their (benchmark, model, metric), with both values.
+
+    The kept value is joined back, so a key with very many cells is split by adaptive execution.
+    """
+    kept = dedup_authority(cells, order).select(*KEYS, F.col("value").alias("kept_value"))
+    return cells.join(kept, KEYS).where(F.col("value").cast("string") != F.col("kept_value").cast("string")).select(*KEYS, "kept_value", "value")
 
 
 def rescaled_metrics(cells: DataFrame, low: float = 10, high: float = 50) -> DataFrame:
