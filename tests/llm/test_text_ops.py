@@ -210,6 +210,21 @@ def test_quality_held_out(spark, small):
     assert all((r["predicted"] == 1) == (r["score"] >= 0.7) and 0 <= r["score"] <= 1 for r in out)
 
 
+def test_quality_scores_are_those_of_plain_arithmetic(spark):
+    rng = random.Random(5)
+    good = lambda: " ".join(rng.choice("some plain words of a text that reads well enough".split()) for _ in range(rng.randint(20, 60))).capitalize() + "."
+    bad = lambda: "".join(rng.choice("#$%&@!? ab1") for _ in range(rng.randint(20, 200)))
+    rows = [(k, good() if k % 3 else bad()) for k in range(90)]
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(80)] + [(85, 0), (85, 1)], "doc_id long, quality int")
+    docs = docs_of(spark, rows)
+    model = quality.fit(docs, labels)
+    raw = {k: sum(float(w) for x, cuts, ws in zip(quality.features(t).tolist(), model.cuts, model.weights.reshape(model.cuts.shape), strict=True) for c, w in zip(cuts, ws, strict=True) if np.float32(x) > c) for k, t in rows}
+    taught = sorted(raw[k] for k in range(80))
+    cut = taught[math.ceil(sum(k % 3 == 0 for k in range(80)) / 80 * 80) - 1]
+    for r in quality.quality(docs, labels).collect():
+        assert math.isclose(r["score"], 1 / (1 + math.exp(-(raw[r["doc_id"]] - cut + math.log(0.7 / 0.3)))), rel_tol=1e-3)
+
+
 def test_quality_edges(spark):
     docs = docs_of(spark, [(1, "a good text of some words.\nAnd more."), (2, "%%% ### $$$"), (3, None), (4, ""), (None, "x"), (5, "w " * 60_000), (1, "a good text of some words.\nAnd more.")])
     labels = spark.createDataFrame([(1, 1), (2, 0), (4, None), (None, 1), (5, 1), (5, 0), (9, 0)], "doc_id long, quality int")
