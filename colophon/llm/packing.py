@@ -56,10 +56,11 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.ranked = _ranked(json.loads(self.tokenizer.to_str()))
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.ranked = _ranked(json.loads(tokenizer.to_str()))
+        self.tokenizer = None if self.ranked else tokenizer
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranked is None:
