@@ -58,7 +58,8 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     rows = near_copies(docs).groupBy("component", name.alias("name")).agg(F.count("*").alias("n"))
     rows = materialise(rows, "named")
     first = rows.groupBy("component").agg(F.min("name").alias("first"), F.count("*").alias("names"))
-    marks = rows.join(first.where("names > 1"), "component").where("name <> first").select("name._id", "name._key")
+    first = materialise(first.where("names > 1").select("component", "first"), "first")
+    marks = rows.join(small(first), "component").where("name <> first").select("name._id", "name._key")
     rest = _without(docs, materialise(marks, "copies"))
     twice = materialise(rows.where("n > 1").select("name._id", "name._key"), "repeated")
     if twice.isEmpty():
