@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 DIMS, SAMPLE, CENTROIDS = 4096, 4000, 4
 #: A cosine below this share of its centroid's low training cosines (their 0.001 quantile) is too distant.
 REJECT = 0.5
-#: Sizes of a text by powers of two of its letter groups; words of the pieces by which the floors of the sizes are found.
-SIZES, PIECES = 24, (1, 2, 4, 8, 16, 32, 64)
+#: Sizes of a text by powers of two of its letter groups; words of the pieces by which the floors of the sizes
+#: are found; one in EACH sampled texts is cut into pieces.
+SIZES, PIECES, EACH = 24, (1, 2, 4, 8, 16, 32, 64), 4
 #: Scale of cosines in the score.
 SHARP = 40.0
 LETTER = regex.compile(r"\p{L}")
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
                 rows = []
                 for lang, rank, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "rank", "text")), strict=True):
                     middle = text[len(text) // 2 :].split(None, max(PIECES) + 1)[1 : max(PIECES) + 1]
-                    for n, t in ((0, text), *((n, " ".join(middle[:n])) for n in PIECES if n <= len(middle))):
+                    for n, t in ((0, text), *((n, " ".join(middle[:n])) for n in PIECES if n <= len(middle) and rank % EACH == 0)):
                         tf = counts(t).astype("<u4")
                         at = np.flatnonzero(tf).astype("<u2")
                         rows.append((lang, rank, n, at.tobytes(), tf[at].tobytes()))
@@ -138,29 +139,31 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Ce
     if not got:
         return None
 
-    def matrix(rows: list) -> np.ndarray:
-        tf = np.zeros((len(rows), DIMS), np.float32)
-        for k, r in enumerate(rows):
-            tf[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<u4")
-        return tf
+    def vectors(rows: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Vectors and numbers of letter groups, a few hundred rows at a time."""
+        for start in range(0, len(rows), 250):
+            part = rows[start : start + 250]
+            tf = np.zeros((len(part), DIMS), np.float32)
+            for k, r in enumerate(part):
+                tf[k, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<u4")
+            yield model.vectors(tf), tf.sum(axis=1)
 
     texts = [r for r in got if r["piece"] == 0]
-    tf = matrix(texts)
-    idf = np.log((1 + len(tf)) / (1 + (tf > 0).sum(axis=0))).astype(np.float32) + 1
+    frequency = np.bincount(np.concatenate([np.frombuffer(r["at"], "<u2") for r in texts]), minlength=DIMS)
+    idf = np.log((1 + len(texts)) / (1 + frequency)).astype(np.float32) + 1
     model = Centroids([], idf, np.zeros((0, DIMS), np.float32), np.zeros((0, SIZES)))
-    x, lang = model.vectors(tf), np.array([r["lang"] for r in texts], dtype=object)
+    x, lang = np.concatenate([v for v, _ in vectors(texts)]), np.array([r["lang"] for r in texts], dtype=object)
     parts = []
     for name in sorted(set(lang)):
         parts.append(_kmeans(x[lang == name], centroids))
         model.languages += [name] * len(parts[-1])
     model.matrix = np.concatenate(parts).astype(np.float32)
+    del x
     # cosines of texts and pieces with their centroid; a floor is that of the size, or of smaller ones, whichever is lowest of larger
     model.floor = np.full((len(model.matrix), SIZES), np.inf)
-    for start in range(0, len(got), 2000):
-        tf = matrix(got[start : start + 2000])
-        cos = model.vectors(tf) @ model.matrix.T
-        best, size = cos.argmax(axis=1), _size(tf.sum(axis=1))
-        np.minimum.at(model.floor, (best, size), cos.max(axis=1))
+    for v, groups in vectors(got):
+        cos = v @ model.matrix.T
+        np.minimum.at(model.floor, (cos.argmax(axis=1), _size(groups)), cos.max(axis=1))
     model.floor = REJECT * np.where(np.isinf(model.floor), 0, np.minimum.accumulate(model.floor[:, ::-1], axis=1)[:, ::-1])
     for size in range(1, SIZES):  # larger than any text of the sample: as the largest
         missing = model.floor[:, size] == 0
