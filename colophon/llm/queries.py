@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from colophon.llm._common import bucket_of
 from colophon.llm.decontaminate import contaminated
 from colophon.llm.exact_dedup import exact_dedup
+from colophon.llm.hard_negatives import hard_negatives
 from colophon.llm.html_text import extract
 from colophon.llm.language import identify
 from colophon.llm.line_dedup import line_dedup
 from colophon.llm.lm_score import lm_scores
+from colophon.llm.minhash import minhash_components
 from colophon.llm.packing import pack
 from colophon.llm.privacy import key_of, pseudonymise
 from colophon.llm.quality import quality
 from colophon.llm.simhash import simhash_components
+from colophon.llm.vector_codes import vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +116,77 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least document of its near-duplicates by three-word shingles."""
+    return minhash_components(_table(spark, sf_dir, "documents"))
+
+
+SQL_OP11 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[k:k+2], ' ') FOR k IN range(1, len(w) - 1)]) END) AS s
+  FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+reach AS (SELECT a AS doc_id, a AS other FROM link UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector as a code of sixteen parts, with its error."""
+    return vector_codes(_table(spark, sf_dir, "embeddings"), "embedding")
+
+
+def _sql_op12(rounds: int = 2) -> str:
+    # parts as (vec_id, part, list of integers); a round's codebook as (part, entry, list)
+    near = """SELECT x.vec_id, x.part, min_by(b.entry, (d, b.entry)) AS entry, min(d) AS d FROM x JOIN b{k} b USING (part),
+      LATERAL (SELECT list_sum([(x.v[i] - b.v[i]) * (x.v[i] - b.v[i]) FOR i IN range(1, len(x.v) + 1)]) AS d) GROUP BY ALL"""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED ({near.format(k=k)})")
+        steps.append(f"""m{k} AS (SELECT part, entry, list(m ORDER BY i) AS v FROM (
+            SELECT part, entry, i, CAST(floor(CAST(sum(x.v[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+            FROM a{k} JOIN x USING (vec_id, part), (SELECT unnest(range(1, 5)) AS i) GROUP BY ALL) GROUP BY ALL)""")
+        steps.append(f"b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.v, b.v) AS v FROM b{k} b LEFT JOIN m{k} m USING (part, entry))")
+    return f"""
+WITH e AS (SELECT vec_id, label, [CAST(floor(256 * CAST(u AS DOUBLE)) AS BIGINT) FOR u IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda u: u IS NULL OR NOT isfinite(u))) = 0),
+x AS MATERIALIZED (SELECT vec_id, part, v[4 * part + 1 : 4 * part + 4] AS v FROM e, (SELECT unnest(range(16)) AS part)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e ORDER BY vec_id LIMIT 64),
+b0 AS MATERIALIZED (SELECT part, entry, v FROM f JOIN x USING (vec_id)),
+{", ".join(steps)},
+z AS MATERIALIZED ({near.format(k=rounds)}),
+c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM z GROUP BY 1),
+g AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c JOIN e USING (vec_id), g
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and its five best positives the hard negatives; one label in seven is shifted."""
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0, "embedding")
+
+
+SQL_OP13 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(u AS DOUBLE)) FOR u IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda u: u IS NULL OR NOT isfinite(u))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -125,6 +199,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": op8_html_text,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality": op10_quality,
+        "op11_minhash": op11_minhash,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -132,4 +209,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": SQL_OP1,
         "op3_decontaminate": SQL_OP3,
+        "op11_minhash": SQL_OP11,
+        "op12_vector_codes": _sql_op12(),
+        "op13_hard_negatives": SQL_OP13,
     }
