@@ -22,7 +22,7 @@ def first_seen_pool(spark: SparkSession, d: str) -> DataFrame:
 @query("pool_coverage", with_views(PAPERS, "p AS (SELECT md5(abstract) AS k, arg_min(source, id) AS first_source, count(DISTINCT source) AS s FROM v_papers GROUP BY 1)") + " SELECT first_source, count(*) AS ids, count(*) FILTER (s > 1) AS several FROM p GROUP BY 1")
 def pool_coverage(spark: SparkSession, d: str) -> DataFrame:
     rows = papers(spark, d).select(F.md5("abstract").alias("paper"), "source", "id")
-    return op.coverage(op.first_seen(rows, "paper", "source", ["id"]))
+    return op.coverage(op.sources_of(rows, "paper", "source", ["id"]))
 
 
 @query("anti_seen", "SELECT l_orderkey AS id, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AND l_orderkey NOT IN (SELECT event_id FROM events WHERE event_type = 'click') GROUP BY 1")
@@ -76,6 +76,60 @@ def mention_merge(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("key").agg(F.count("*").alias("mentions"), F.count_distinct("paper").alias("papers")).join(title, "key")
 
 
+_WHOLE = r"""v_whole AS (SELECT l_orderkey * 10 + l_linenumber AS ord, CASE WHEN l_suppkey % 5 = 0 THEN ' ' || upper(p_name) || ' (x)' WHEN l_suppkey % 5 = 1 THEN replace(p_name, ' ', '-') ELSE p_name END AS name, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE p_type END AS full_title,
+  CASE WHEN l_partkey % 3 = 0 THEN '2501.' || (10000 + l_partkey // 4) END AS paper, ['https://x.org/' || (l_suppkey % 5), '', NULL][l_suppkey % 3 + 1] AS url, CASE WHEN l_suppkey % 4 <> 0 THEN ' ' || (2019 + l_suppkey % 6) END AS year,
+  CASE WHEN l_suppkey % 11 <> 0 THEN p_brand END AS category, CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag || l_linestatus || l_suppkey END AS one_line, CASE WHEN l_suppkey % 9 <> 0 THEN repeat('paper ' || (l_suppkey % 40) || ' ', 14) END AS evidence
+  FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus) = 1) JOIN part ON p_partkey = l_partkey)"""
+_LONG = """k AS (SELECT *, regexp_replace(regexp_replace(lower(trim(name)), '\\s*\\(.*?\\)\\s*', ' ', 'g'), '[^a-z0-9]+', '', 'g') AS key FROM v_whole),
+ l AS (""" + " UNION ALL ".join(f"SELECT key, ord, '{f}' AS f, trim({c}) AS v FROM k WHERE coalesce(trim({c}), '') <> ''" for f, c in (("name", "name"), ("title", "full_title"), ("paper", "paper"), ("url", "url"), ("year", "year"), ("category", "category"))) + """),
+ r AS (SELECT key, f, v, row_number() OVER (PARTITION BY key, f ORDER BY count(*) DESC, min(ord)) AS r FROM l GROUP BY 1, 2, 3),
+ m AS (SELECT key, """ + ", ".join(f"max(v) FILTER (f = '{f}' AND r = 1) AS {n}" for f, n in (("name", "name"), ("title", "full_title"), ("paper", "paper"), ("url", "url"), ("year", "year"))) + """, string_agg(v, '|' ORDER BY v) FILTER (f = 'name' AND r > 1) AS aliases, string_agg(v, '|' ORDER BY r) FILTER (f = 'paper' AND r > 1) AS conflicts, string_agg(v, '|' ORDER BY r) FILTER (f = 'category') AS categories FROM r GROUP BY 1),
+ o AS (SELECT key, count(*) AS mention_count, array_to_string(list(one_line ORDER BY ord) FILTER (one_line IS NOT NULL)[1:4], '|') AS one_lines, array_to_string(list_sort(list(DISTINCT substr(coalesce(evidence, ''), 1, 110)))[1:5], '|') AS sources FROM k GROUP BY 1)"""
+
+
+def _whole_mentions(spark: SparkSession, d: str) -> DataFrame:
+    line, part = table(spark, d, "lineitem"), table(spark, d, "part")
+    line = line.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")).alias("r"))
+    rows = line.select("l_orderkey", "l_linenumber", "r.*").join(part, F.col("l_partkey") == part["p_partkey"])
+    s, p, no = F.col("l_suppkey"), F.col("l_partkey"), F.lit(None).cast("string")
+    text = lambda c: c.cast("string")
+    return rows.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.when(s % 5 == 0, F.concat(F.lit(" "), F.upper("p_name"), F.lit(" (x)"))).when(s % 5 == 1, F.replace("p_name", F.lit(" "), F.lit("-"))).otherwise(F.col("p_name")).alias("name"),
+        F.when(s % 7 == 0, no).otherwise(F.col("p_type")).alias("full_title"), F.when(p % 3 == 0, F.concat(F.lit("2501."), text(10000 + F.floor(p / 4)))).alias("paper"), F.when(s % 3 == 0, F.concat(F.lit("https://x.org/"), text(s % 5))).when(s % 3 == 1, "").alias("url"),
+        F.when(s % 4 != 0, F.concat(F.lit(" "), text(2019 + s % 6))).alias("year"), F.when(s % 11 != 0, F.col("p_brand")).alias("category"), F.when(F.col("l_linenumber") % 2 == 0, F.concat("l_returnflag", "l_linestatus", text(s))).alias("one_line"),
+        F.when(s % 9 != 0, F.repeat(F.concat(F.lit("paper "), text(s % 40), F.lit(" ")), 14)).alias("evidence"),
+    )
+
+
+@query("merged_mentions", with_views(_WHOLE, _LONG) + " SELECT key, name, coalesce(aliases, '') AS aliases, full_title, paper, coalesce(conflicts, '') AS conflicts, url, year, coalesce(categories, '') AS categories, coalesce(one_lines, '') AS one_lines, mention_count, sources FROM m JOIN o USING (key)")
+def merged_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """AG-13: the whole record of each mentioned name."""
+    rows = _whole_mentions(spark, d).withColumn("key", T.mention_key(F.col("name")))
+    lists = ("aliases", "conflicts", "categories", "one_lines", "sources")
+    return op.merged_mentions(rows).withColumns({c: F.array_join(c, "|") for c in lists})
+
+
+_SEEN = "t AS (SELECT user_id AS id, event_type AS source, arg_min(value, (ts, event_id)) AS v, min((ts, event_id)) AS place, count(*) AS n FROM events GROUP BY 1, 2), p AS (SELECT id, arg_min(source, place) AS first_source, arg_min(v, place) AS score, count(*) AS s FROM t GROUP BY 1)"
+
+
+def _event_pool(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_type").alias("source"), "ts", "event_id", "value")
+    score = e.groupBy("id").agg(F.min_by("value", F.struct("ts", "event_id")).alias("score"))
+    return op.sources_of(e, "id", "source", ["ts", "event_id"]).join(score, "id")
+
+
+@query("pool_bands", f"WITH {_SEEN} SELECT first_source, count(*) AS ids, count(*) FILTER (s > 1) AS several, count(*) FILTER (score >= 20) AS score_ge_20, count(*) FILTER (score >= 8 AND score < 20) AS score_8_19, count(*) FILTER (score < 8) AS score_lt_8 FROM p GROUP BY 1")
+def pool_bands(spark: SparkSession, d: str) -> DataFrame:
+    """AG-14: first sources with the score bands of what they found first."""
+    return op.coverage(_event_pool(spark, d), "score")
+
+
+@query("pool_sources", f"WITH {_SEEN} SELECT source, sum(n)::BIGINT AS records, count(*) AS ids FROM t GROUP BY 1")
+def pool_sources(spark: SparkSession, d: str) -> DataFrame:
+    """AG-14, SE-03: records and ids of each source."""
+    return op.per_source(_event_pool(spark, d))
+
+
 @query("mention_aliases", with_views(_MENTIONS, _KEYED, "f AS (SELECT key, min(ord) AS ko FROM k GROUP BY 1)", "o AS (SELECT paper, arg_min(key, struct_pack(a := ko, b := ord)) AS owner FROM k JOIN f USING (key) WHERE paper IS NOT NULL GROUP BY 1)") + " SELECT key, arg_max(owner, ord) AS target FROM k JOIN o USING (paper) WHERE owner <> key GROUP BY 1")
 def mention_aliases(spark: SparkSession, d: str) -> DataFrame:
     return op.single_hop_aliases(_mentions(spark, d).select("ord", T.mention_key(F.col("name")).alias("key"), "paper"))
