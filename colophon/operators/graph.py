@@ -1,10 +1,12 @@
-"""Small graph operators: merge chains by a recursive query, reachability within reviewed groups by a fold."""
+"""Graph operators: merge chains by a recursive query, components and reachability by steps over written edges."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colophon.sources.tables import scratch
+
 
 def resolve_chains(nodes: DataFrame) -> DataFrame:
     """GR-01: id, target, hops, cyclic of nodes (id, into): merge pointers followed to a node without one.
@@ -28,19 +30,44 @@ def resolve_chains(nodes: DataFrame) -> DataFrame:
     )
 
 
-def reached(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """GR-03: group, n_members, n_reached: members (group, member) that edges (group, a, b), either way, connect to the least one.
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def components(edges: DataFrame, most: int = 60) -> DataFrame:
+    """node, root: for each node of the edges (a, b) the least node that it is connected with; nodes are of any type with an order.
 
-    A group's members are the few that a review has listed, so its closure is a fold in its own row, of as many steps as members.
+    Alternating steps: a node's larger neighbours go to the least of the node and its neighbours, then a node and its smaller
+    neighbours go to the least of these. Each step is written to the shared folder, so that the plan doesn't grow and a lost
+    executor costs one step; the steps grow with the logarithm of a chain's length, not with the length.
     """
-    members = nodes.groupBy("group").agg(F.array_sort(F.collect_set("member")).alias("m"))
-    links = edges.groupBy("group").agg(F.collect_list(F.struct("a", "b")).alias("e"))
-    rows = members.join(links, "group", "left")
+    now, _ = _written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    last = None
+    for _ in range(most):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        below = large.groupBy("u").agg(F.min("v").alias("m"))
+        near = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now, _ = _written(near.unionByName(below.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
+        got = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        if got == last:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        last = got
+    raise RuntimeError("components did not settle")
 
-    def step(seen: Column, _: Column) -> Column:
-        one_way = lambda x, y: F.transform(F.filter("e", lambda e: F.array_contains(seen, e[x])), lambda e: e[y])
-        return F.array_distinct(F.concat(seen, one_way("a", "b"), one_way("b", "a")))
 
-    start = F.slice("m", 1, 1)
-    closed = F.when(F.col("e").isNull(), start).otherwise(F.aggregate(F.sequence(F.lit(1), F.size("m")), start, step))
-    return rows.select("group", F.size("m").cast("long").alias("n_members"), F.size(closed).cast("long").alias("n_reached"))
+def reached(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """GR-03: group, n_members, n_reached: members (group, member) that edges (group, a, b), either way, connect to the least one.
+
+    The edges of all groups are followed together; no group is collected, so groups may have any number of members.
+    """
+    members = nodes.select("group", "member").distinct()
+    at = lambda c: F.struct(F.col("group").alias("group"), F.col(c).alias("member"))
+    roots = components(edges.select(at("a").alias("a"), at("b").alias("b")))
+    # a component that has the least member has it as its root
+    per_root = roots.groupBy("root").agg((F.count("*") + 1).alias("n")).select("root.group", "root.member", "n")
+    sizes = members.groupBy("group").agg(F.count("*").alias("n_members"), F.min("member").alias("member"))
+    return sizes.join(per_root, ["group", "member"], "left").select("group", "n_members", F.coalesce("n", F.lit(1)).alias("n_reached"))

@@ -9,7 +9,7 @@ from colophon.operators import affiliations, aliases, corrections, gates
 from colophon.plans.registry import query
 from colophon.sources import json_sources, parsers, sinks
 from colophon.sources.tables import scratch, table
-from colophon.streaming import crawl
+from colophon.streaming import crawl, state
 
 
 @query("json_document", "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS _ord, n_nationkey AS id, n_name AS name FROM nation")
@@ -94,7 +94,7 @@ def atom_feed(spark: SparkSession, d: str) -> DataFrame:
 
 @query("oai_pages", "SELECT n_regionkey AS region, count(*) AS records, CASE WHEN n_regionkey % 2 = 0 THEN 'next' || n_regionkey END AS token FROM nation GROUP BY 1 UNION ALL SELECT 9, 0, NULL")
 def oai_pages(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-10: records and resumption tokens of harvested pages; a page without matches is empty."""
+    """SRC-11: records and resumption tokens of harvested pages; a page without matches is empty."""
     record = F.concat(F.lit("<record><header><identifier>oai:"), "n_name", F.lit("</identifier></header></record>"))
     token = F.when(F.col("n_regionkey") % 2 == 0, F.concat(F.lit('<resumptionToken cursor="0">next'), F.col("n_regionkey").cast("string"), F.lit("</resumptionToken>"))).otherwise("<resumptionToken></resumptionToken>")
     pages = table(spark, d, "nation").groupBy("n_regionkey").agg(F.concat(F.array_join(F.collect_list(record), "\n"), F.first(token)).alias("value"))
@@ -124,7 +124,44 @@ def seen_set(spark: SparkSession, d: str) -> DataFrame:
     ids = table(spark, d, "events").select(F.col("user_id").alias("id"), "event_id")
     write(ids.where("event_id % 3 <> 0").select("id"), 0)
     write(ids.where("event_id % 3 <> 1").select("id"), 1)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("id")
+
+
+_FLOW = """b AS (SELECT event_id, user_id AS id, event_id % 3 AS k, event_id AS pos, strftime(ts, '%Y-%m-%d') AS published, value AS score,
+  CASE event_type WHEN 'click' THEN 'new' WHEN 'view' THEN 'already in the catalogue' WHEN 'purchase' THEN 'out of scope' ELSE '' END AS status FROM events)"""
+
+
+def _flow(spark: SparkSession, d: str) -> DataFrame:
+    """Events as entries of the feed in three batches; an entry's last status in a batch counts."""
+    e = F.col("event_type")
+    status = F.when(e == "click", "new").when(e == "view", "already in the catalogue").when(e == "purchase", "out of scope").otherwise("")
+    return table(spark, d, "events").select(F.col("user_id").alias("id"), (F.col("event_id") % 3).alias("k"), F.col("event_id").alias("at"), F.date_format("ts", "yyyy-MM-dd").alias("published"), F.col("value").alias("score"), status.alias("status"))
+
+
+@query("sticky_ledger", f"""WITH {_FLOW}, v AS (SELECT id, arg_max(published, (k, pos)) AS published, arg_max(score, (k, pos)) AS score, arg_max(status, (k, pos)) FILTER (status NOT IN ('', 'new')) AS verdict FROM b GROUP BY 1),
+ f AS (SELECT id, arg_max(status, pos) AS status FROM b WHERE k = 2 GROUP BY 1)
+ SELECT v.*, CASE WHEN id % 5 = 0 THEN 'admitted' WHEN f.status = 'new' OR verdict IS NULL AND f.id IS NOT NULL THEN 'under review' WHEN verdict LIKE 'already%' THEN 'already catalogued' ELSE 'not admitted' END AS outcome
+ FROM v LEFT JOIN f USING (id)""")
+def sticky_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """ST-05, SNK-09: the ledger after three batches, the second of which comes twice; verdicts stay when entries leave the feed."""
+    flow = _flow(spark, d)
+    ledger = state.StateTable(spark, scratch(spark, "ledger"), state.LEDGER, buckets=16)
+    for epoch, k in enumerate((0, 1, 1, 2)):
+        ledger.apply(flow.where(F.col("k") == k), min(epoch, k), state.ledger)
+    feed = flow.where("k = 2").groupBy("id").agg(F.max_by("status", "at").alias("status"), F.lit(True).alias("in_feed"))
+    rows = ledger.read().join(feed, "id", "left")
+    return rows.select("id", "published", "score", "verdict", crawl.outcome(F.col("id") % 5 == 0, F.col("verdict"), F.col("status"), F.coalesce("in_feed", F.lit(False))).alias("outcome"))
+
+
+@query("rolling_feed", f"""WITH {_FLOW}, e AS (SELECT id, k, max(score) AS score, min(published) AS published FROM b GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY id ORDER BY k DESC) = 1)
+ SELECT id, score, published, row_number() OVER w AS place FROM e WINDOW w AS (ORDER BY k DESC, score DESC, published, id) QUALIFY place <= 60""")
+def rolling_feed(spark: SparkSession, d: str) -> DataFrame:
+    """ST-04: the feed of 60 after three batches, each a version of its own."""
+    best = _flow(spark, d).groupBy("id", "k").agg(F.max("score").alias("score"), F.min("published").alias("published"))
+    feed = state.StateTable(spark, scratch(spark, "feed"), "id long, score double, published string, place long", buckets=1)
+    for k in range(3):
+        feed.apply(best.where(F.col("k") == k).drop("k"), k, state.feed_of(60))
+    return feed.read()
 
 
 @query("session_windows", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),

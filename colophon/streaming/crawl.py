@@ -24,18 +24,21 @@ def run_once(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def append_unseen(spark: SparkSession, seen_path: str, id_col: str = "id"):
-    """ST-02: a foreachBatch function for an unbounded seen-set: ids that the table at seen_path lacks are appended to it."""
+def append_unseen(spark: SparkSession, seen_path: str, id_col: str = "id", buckets: int = 64):
+    """ST-02: a foreachBatch function for an unbounded seen-set: ids that the table at seen_path lacks are appended to it.
+
+    The table is partitioned by a hash of the id, and a batch reads only the buckets of its ids.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(seen_path)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(batch: DataFrame, epoch: int) -> None:
-        fresh = batch.dropDuplicates([id_col])
-        try:
-            seen = spark.read.schema(batch.schema).parquet(seen_path).select(id_col)
+        fresh = batch.dropDuplicates([id_col]).withColumn("bucket", F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int"))
+        if files.exists(path):
+            touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # as many as there are buckets, at most
+            seen = spark.read.schema(fresh.schema).parquet(seen_path).where(F.col("bucket").isin(touched)).select(id_col)
             fresh = fresh.join(seen, id_col, "left_anti")
-        except Exception as e:  # the first batch: there is no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        fresh.write.mode("append").parquet(seen_path)
+        fresh.write.mode("append").partitionBy("bucket").parquet(seen_path)
 
     return write
 
