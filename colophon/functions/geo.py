@@ -65,14 +65,38 @@ def ring_path(points: Column) -> Column:
     return F.concat(F.array_join(text, ""), F.lit("Z"))
 
 
+def map_rings(points: DataFrame, width: float = 1000.0, top: float = 84.0, bottom: float = -57.0) -> DataFrame:
+    """PR-07: ring, copy, path: the outlines of rings (ring, pos, lon, lat) on the map, one row for each copy that can be seen.
+
+    A ring that crosses the antimeridian is unwrapped, and drawn as it is and shifted by a whole turn either way where a part of
+    the copy lies on the map. A ring's points meet, as its path is one text.
+    """
+    crossed = F.abs(F.col("lon") - F.lag("lon").over(Window.partitionBy("ring").orderBy("pos"))) > 180
+    flat = unwrap(points.withColumn("crossed", F.coalesce(crossed, F.lit(False))))
+    rings = flat.groupBy("ring").agg(F.bool_or("crossed").alias("crossed"), F.min("lon").alias("lo"), F.max("lon").alias("hi"), F.array_sort(F.collect_list(F.struct("pos", "lon", "lat"))).alias("pts"))
+    seen = lambda k: (F.col("hi") + k * 360 > -180) & (F.col("lo") + k * 360 < 180)
+    copies = F.when(F.col("crossed"), F.filter(F.array(*[F.when(seen(k), F.lit(k)) for k in (0, -1, 1)]), lambda x: x.isNotNull())).otherwise(F.array(F.lit(0)))
+
+    def place(p: Column) -> Column:
+        x, y = project(p["lon"] + F.col("copy") * 360, p["lat"], width, top, bottom)
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return rings.select("ring", F.explode(copies).alias("copy"), "pts").select("ring", "copy", ring_path(F.transform("pts", place)).alias("path"))
+
+
 def norm_city(city: Column) -> Column:
     """FN-26: lower case, without what follows a comma or stands in parentheses."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.substring_index(F.coalesce(city, F.lit("")), ",", 1)), r"\(.*?\)", ""), r"[^\p{L} ]+", " "))
 
 
 def iso_of(name: Column, codes: DataFrame | dict[str, str]) -> Column:
-    """FN-25: a country's code by name, in a small map: the whole name, its last comma part, or a two-letter code as it is."""
+    """FN-25: a country's code by name, in a small map: the whole name, its last comma part, or a two-letter code as it is.
+
+    What stands in parentheses or behind a semicolon, and points around the name, don't count; full-width and other compatibility
+    forms are folded before, by `unicode.normalised`.
+    """
     table = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])
-    flat = F.lower(F.trim(F.regexp_replace(F.substring_index(F.coalesce(name, F.lit("")), ";", 1), r"\(.*?\)", "")))
+    flat = F.regexp_replace(F.substring_index(F.coalesce(name, F.lit("")), ";", 1), r"\(.*?\)", " ")
+    flat = F.lower(F.trim(F.regexp_replace(F.regexp_replace(flat, r"^[\s.]+|[\s.]+$", ""), r"\s+", " ")))
     last = F.trim(F.substring_index(flat, ",", -1))
     return F.coalesce(F.try_element_at(table, flat), F.when(flat.rlike("^[a-z]{2}$"), F.upper(flat)), F.try_element_at(table, last), F.when(last.rlike("^[a-z]{2}$"), F.upper(last)))

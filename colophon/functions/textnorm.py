@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 # Words that carry no meaning in a title, and suffixes in the order in which they are tried.
 STOP = (
-    "a an the of on in for to and or with without via using by from at as is are be am towards toward into over under our new we its it "
-    "their this that these those can do does more than not no all any some such very much many you we they he she"
+    "a an the of on in for to and or with without via using by from at as is are be am "
+    "towards toward into over under our new we its their it this that these those can "
+    "do does more than not no all any some such very much many you we they he she"
 ).split()
 SUFFIXES = ("ations", "ation", "ings", "ing", "edly", "ed", "es", "s")
 # Unicode dashes and spaces that printed names use.
@@ -21,6 +22,15 @@ def or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def apart(f, *cols: Column) -> Column:
+    """f(*cols), evaluated by itself, once for a row, rather than as part of a stage's generated code.
+
+    Long chains of patterns would make that code too large to compile.
+    """
+    cells = F.struct(*[c.alias(f"c{k}") for k, c in enumerate(cols)])
+    return F.transform(F.array(cells), lambda x: f(*[x[f"c{k}"] for k in range(len(cols))]))[0]
+
+
 def norm(title: Column) -> Column:
     """FN-01: lower case, braces and backslashes dropped, all else but a-z0-9 one space."""
     plain = F.lower(F.regexp_replace(or_empty(title), r"[{}\\]", ""))

@@ -28,10 +28,11 @@ FAMILIES = (
 # Evidence hosts and words, in order, and the names of sources.
 HOSTS = (
     ("aclanthology.org", "acl_anthology"), ("isca-archive.org", "isca_archive"), ("isca-speech.org", "isca_archive"), ("openreview.net", "openreview"),
-    ("ieee.org", "ieee"), ("acm.org", "acm"), ("dblp.org", "dblp"), ("dblp.uni-trier.de", "dblp"), ("doi.org", "publisher"), ("crossref.org", "publisher"),
-    ("link.springer.com", "publisher"), ("sciencedirect.com", "publisher"), ("direct.mit.edu", "publisher"), ("mitpressjournals.org", "publisher"),
-    ("mlr.press", "publisher"), ("papers.nips.cc", "publisher"), ("neurips.cc", "publisher"), ("aaai.org", "publisher"), ("ijcai.org", "publisher"),
-    ("ismir.net", "publisher"), ("thecvf.com", "publisher"), ("jmlr.org", "publisher"), ("arxiv.org", "arxiv"),
+    ("ieeexplore.ieee.org", "ieee"), ("ieee.org", "ieee"), ("dl.acm.org", "acm"), ("acm.org", "acm"), ("dblp.org", "dblp"), ("dblp.uni-trier.de", "dblp"),
+    ("doi.org", "publisher"), ("crossref.org", "publisher"), ("link.springer.com", "publisher"), ("sciencedirect.com", "publisher"),
+    ("direct.mit.edu", "publisher"), ("mitpressjournals.org", "publisher"), ("proceedings.mlr.press", "publisher"), ("mlr.press", "publisher"),
+    ("papers.nips.cc", "publisher"), ("neurips.cc", "publisher"), ("proceedings.neurips.cc", "publisher"), ("ojs.aaai.org", "publisher"), ("aaai.org", "publisher"),
+    ("ijcai.org", "publisher"), ("ismir.net", "publisher"), ("thecvf.com", "publisher"), ("jmlr.org", "publisher"), ("arxiv.org", "arxiv"),
 )
 NEEDLES = (
     ("anthology", "acl_anthology"), ("isca", "isca_archive"), ("openreview", "openreview"), ("journal_ref", "arxiv_journal_ref"),
@@ -41,16 +42,21 @@ NEEDLES = (
 SOURCES = "acl_anthology isca_archive openreview ieee acm dblp publisher arxiv_comment arxiv_journal_ref arxiv other".split()
 #: Names that are too common to be evidence.
 GENERIC = "bench benchmark eval evaluation test suite audio speech voice sound music model models data dataset corpus task tasks core hear sonar oasis atlas amuse debate mae compa echo probe".split()
+# Phrases of acceptance with what they name, and venues named with their year.
 _ACCEPTED = r"(?i)\b(?:Accepted (?:to|at|by)|To appear (?:in|at)|Published (?:in|at)|Camera[- ]ready for)\s+([^.;]{3,70})"
 _NAMED = r"\b((?:ICASSP|INTERSPEECH|Interspeech|ACL|EMNLP|NAACL|NeurIPS|ICLR|ICML|SLT|ASRU|AAAI|IJCAI|COLING|TMLR|ISMIR|WASPAA|EUSIPCO|ICME|MM)\s*'?\s*20\d\d)"
 
 
 def tidy(name: Column) -> Column:
     """FN-21: a venue's name without years, ordinals and parenthesised editions; the name itself if nothing is left."""
-    n = F.trim(T.or_empty(name))
-    for pattern, put in ((r"^\s*(?:19|20)\d{2}\s+", ""), (r"\s*(?:19|20)\d{2}\s*$", ""), (r"([A-Za-z])(?:19|20)\d{2}$", "$1"), (r"^\s*\d+(?:st|nd|rd|th)\s+", ""), (r"\s*\([^()]*'?\d{2,4}\)\s*$", ""), (r"\s*(?:19|20)\d{2}\s*$", ""), (r"^[ \-:,]+|[ \-:,]+$", "")):
-        n = F.regexp_replace(n, pattern, put)
-    return F.when(n == "", F.trim(T.or_empty(name))).otherwise(n)
+
+    def plain(whole: Column) -> Column:
+        n = whole
+        for pattern, put in ((r"^\s*(?:19|20)\d{2}\s+", ""), (r"\s*(?:19|20)\d{2}\s*$", ""), (r"([A-Za-z])(?:19|20)\d{2}$", "$1"), (r"^\s*\d+(?:st|nd|rd|th)\s+", ""), (r"\s*\([^()]*'?\d{2,4}\)\s*$", ""), (r"\s*(?:19|20)\d{2}\s*$", ""), (r"^[ \-:,]+|[ \-:,]+$", "")):
+            n = F.regexp_replace(n, pattern, put)
+        return F.coalesce(F.nullif(n, F.lit("")), whole)
+
+    return T.apart(plain, F.trim(T.or_empty(name)))
 
 
 def display(name: Column, year: Column, track: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Venue evidence: which hits may decide, the best of a source, records from each source, and the promotion of weak matches."""
+"""Venue evidence: which hits may decide, the best of a source, and the promotion of weak matches."""
 
 from __future__ import annotations
 
@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions import textnorm as T
-from colophon.functions import venue_text as V
 
-# Crossref's types of publication records; the prefix of preprint DOIs; shown names of ISCA events.
+# Crossref's types of publication records; the prefix of preprint DOIs.
 PUBLISHED_TYPES = ("proceedings-article", "journal-article", "book-chapter")
 PREPRINT_DOI = "10.48550"
-ISCA_EVENTS = (("Interspeech", "interspeech"), ("Odyssey", "odyssey"), ("SSW", "ssw"))
 
 
 def usable(hits: DataFrame, promoted: DataFrame) -> DataFrame:
@@ -60,11 +58,6 @@ def preferred(hits: DataFrame, rank: Column, order: str = "ord") -> DataFrame:
     return ranked.groupBy("id").agg(F.min_by(F.struct(*hits.columns), F.struct("_rank", order)).alias("h")).select("h.*")
 
 
-def crossref_rank() -> Column:
-    """WN-11: proceedings, journal and book chapter before any other type."""
-    return F.when(F.col("type").isin(*PUBLISHED_TYPES), 0).otherwise(1)
-
-
 def openreview_rank() -> Column:
     """WN-11: a decided venue; submissions, preprint servers, mirrors and empty venues never decide."""
     venue = T.or_empty(F.col("venue"))
@@ -72,44 +65,6 @@ def openreview_rank() -> Column:
     return F.when(~out, 0)
 
 
-def _record(df: DataFrame, **fields: Column) -> DataFrame:
-    """FN-51: the common record; fields that a source doesn't give are empty."""
-    names = ("status", "venue_name", "venue_full", "venue_year", "venue_kind", "track", "display", "evidence_source", "evidence_url", "evidence_quote", "doi")
-    return df.select("id", *[T.or_empty(fields[n]).alias(n) if n in fields else F.lit("").alias(n) for n in names], fields.get("needs_review", F.lit(False)).alias("needs_review"))
-
-
-def from_crossref(hits: DataFrame) -> DataFrame:
-    """FN-51: records from Crossref hits (id, ord, type, container, event, year, title, doi, url)."""
-    e = preferred(hits, crossref_rank())
-    container = T.first_filled(F.col("container"), F.col("event"))
-    year = F.coalesce(T.first_filled(F.col("year")), T.year_of(container))
-    fam = V.family(container)
-    plain = V.tidy(F.substring(F.trim(F.regexp_replace(T.or_empty(container), "^Proceedings of (the )?", "")), 1, 80))
-    name = F.coalesce(fam, plain)
-    kind = F.when(F.col("type") == "journal-article", "journal").when(fam.isNull() & T.or_empty(container).rlike("(?i)workshop"), "workshop").otherwise("conference")
-    quote = F.concat(F.substring(T.or_empty(F.col("title")), 1, 70), F.lit(" - "), T.or_empty(container))
-    return _record(
-        e, status=F.lit("published"), venue_name=name, venue_full=container, venue_year=year, venue_kind=kind, display=V.display(name, T.or_empty(year), F.lit(None).cast("string")), evidence_source=F.lit("publisher"),
-        evidence_url=F.coalesce(T.first_filled(F.col("url")), F.concat(F.lit("https://doi.org/"), T.or_empty(F.col("doi")))), evidence_quote=quote, doi=F.col("doi"), needs_review=fam.isNull(),
-    )
-
-
-def from_isca(hits: DataFrame) -> DataFrame:
-    """FN-51: records from ISCA hits (id, ord, event: a name and a year, title, url)."""
-    e = preferred(hits, F.lit(0))
-    name, year = F.regexp_extract("event", "^(.*) [^ ]*$", 1), F.substring_index("event", " ", -1)
-    return _record(e, status=F.lit("published"), venue_name=name, venue_full=F.concat("event", F.lit(" (ISCA Archive)")), venue_year=year, venue_kind=F.lit("conference"), display=V.display(name, year, F.lit(None).cast("string")), evidence_source=F.lit("isca_archive"), evidence_url=F.col("url"), evidence_quote=F.col("title"))
-
-
-def from_openreview(hits: DataFrame) -> DataFrame:
-    """FN-51: records from OpenReview hits (id, ord, venue, mirror, decided: whether it has a publication date, url)."""
-    e = preferred(hits, openreview_rank())
-    year = T.year_of(F.col("venue"))
-    name = T.first_filled(F.trim(F.regexp_replace("venue", r"\s*(19|20)\d{2}.*$", "")), F.col("venue"))
-    track = F.when(year.isNotNull(), F.trim(F.regexp_replace("venue", r"^.*?(19|20)\d{2}\s*", "")))
-    return _record(e, status=F.when(F.col("decided"), "published").otherwise("accepted"), venue_name=name, venue_full=F.col("venue"), venue_year=year, venue_kind=F.lit("conference"), track=track, evidence_source=F.lit("openreview"), evidence_url=F.col("url"), evidence_quote=F.col("venue"), display=V.display(name, T.or_empty(year), F.nullif(track, F.lit(""))))
-
-
 def accepted_history(previous: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """SE-07: all decisions made so far; a new one replaces that of its id."""
     return new.unionByName(previous.join(new.select(key).distinct(), key, "left_anti"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.operators import evidence as op
+from colophon.operators import venue_records as R
 from colophon.plans.assembly import _at
 from colophon.plans.registry import query
 from colophon.sources.tables import table
@@ -63,10 +64,10 @@ def _crossref(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("crossref_records", f"""WITH {_HITS}, {_CR} SELECT id, CASE container WHEN 'Interspeech 2025' THEN '2025' ELSE '' END AS venue_year,
- CASE WHEN type = 'journal-article' THEN 'journal' WHEN container LIKE '%Workshop%' THEN 'workshop' ELSE 'conference' END AS venue_kind, coalesce(filled, '') AS venue_full, 'https://doi.org/' || coalesce(doi, '') AS evidence_url, 'T - ' || coalesce(filled, '') AS evidence_quote FROM e""")
+ CASE container WHEN 'Interspeech 2025' THEN 'conference' WHEN 'Computer Speech & Language' THEN 'journal' WHEN 'Proceedings of the Small Workshop on Sounds' THEN 'workshop' ELSE CASE type WHEN 'journal-article' THEN 'journal' ELSE 'conference' END END AS venue_kind, coalesce(filled, '') AS venue_full, 'https://doi.org/' || coalesce(doi, '') AS evidence_url, 'T - ' || coalesce(filled, '') AS evidence_quote FROM e""")
 def crossref_records(spark: SparkSession, d: str) -> DataFrame:
     """FN-51, WN-11, FN-58."""
-    return op.from_crossref(_crossref(spark, d)).select("id", "venue_year", "venue_kind", "venue_full", "evidence_url", "evidence_quote")
+    return R.from_crossref(_crossref(spark, d)).select("id", "venue_year", "venue_kind", "venue_full", "evidence_url", "evidence_quote")
 
 
 _VENUES = ("ICLR 2025 Poster", "Submitted to ICLR 2025", "CoRR 2024", "", "NeurIPS 2024 Datasets and Benchmarks Track", "TMLR")
@@ -78,14 +79,14 @@ _VENUES = ("ICLR 2025 Poster", "Submitted to ICLR 2025", "CoRR 2024", "", "NeurI
 def openreview_records(spark: SparkSession, d: str) -> DataFrame:
     """FN-51, WN-11."""
     rows = _hits(spark, d).select("id", F.col("place").alias("ord"), _at(_VENUES, F.col("l_partkey")).alias("venue"), (F.col("l_suppkey") % 4 == 0).alias("mirror"), (F.col("l_suppkey") % 2 == 1).alias("decided"), "url")
-    return op.from_openreview(rows).select("id", "status", "venue_name", "venue_year", "track")
+    return R.from_openreview(rows.withColumn("venueid", F.lit(""))).select("id", "status", "venue_name", "venue_year", "track")
 
 
 @query("isca_records", f"WITH {_HITS}, c AS (SELECT id, ord, ['Interspeech', 'SSW', 'Odyssey Workshop'][l_partkey % 3 + 1] AS name, 2000 + l_suppkey % 25 AS year FROM h QUALIFY row_number() OVER (PARTITION BY id ORDER BY place) = 1) SELECT id, name AS venue_name, year::VARCHAR AS venue_year, name || ' ' || year || ' (ISCA Archive)' AS venue_full FROM c")
 def isca_records(spark: SparkSession, d: str) -> DataFrame:
     """FN-51."""
     event = F.concat(_at(("Interspeech", "SSW", "Odyssey Workshop"), F.col("l_partkey")), F.lit(" "), (2000 + F.col("l_suppkey") % 25).cast("string"))
-    return op.from_isca(_hits(spark, d).select("id", F.col("place").alias("ord"), event.alias("event"), F.lit("T").alias("title"), "url")).select("id", "venue_name", "venue_year", "venue_full")
+    return R.from_isca(_hits(spark, d).select("id", F.col("place").alias("ord"), event.alias("event"), F.lit("T").alias("title"), "url")).select("id", "venue_name", "venue_year", "venue_full")
 
 
 @query("accepted_history", "SELECT id, arg_max(url, turn) AS url FROM (SELECT o_orderkey AS id, o_orderpriority AS url, 0 AS turn FROM orders UNION ALL SELECT event_id, event_type, 1 FROM events) GROUP BY 1")
