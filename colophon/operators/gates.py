@@ -70,6 +70,34 @@ def geo_gates(sites: DataFrame, occ: DataFrame) -> list[DataFrame]:
     ]
 
 
+def affiliation_gates(records: DataFrame, entries: DataFrame, institutions: DataFrame) -> list[DataFrame]:
+    """GT-03: records (id, publishable, countries_complete, verified, verify_note, status, institutions) of entries (id) against the
+    institutions (id). Each of a record's institutions has inst, lead, country, countries, placed, lat, lon.
+    """
+    occ = records.select("id", F.explode_outer("institutions").alias("a")).select("id", "a.*")
+    occ_there = occ.where("inst is not null")
+    p, v = F.coalesce("publishable", F.lit(False)), F.col("verified")
+    code = lambda c: F.coalesce(c.rlike("^[A-Z]{2}$"), F.lit(False))
+    of = lambda df, ref, c: df.join(ref.select(F.col("id").alias(c)).distinct(), c, "left_anti")
+    lists = F.coalesce(F.size("countries"), F.lit(-1)) >= 0
+    return [
+        violation(of(records.withColumn("entry", F.col("id")), entries, "entry"), "affiliations: unknown entry", F.lit(True)),
+        violation(records, "affiliations: no publishable flag", F.col("publishable").isNull()),
+        violation(records, "affiliations: no countries_complete flag", F.col("countries_complete").isNull()),
+        violation(occ.groupBy("id").agg(F.count_if("lead").alias("leads")), "affiliations: several leads", F.col("leads") > 1),
+        violation(records, "affiliations: publishable without institutions", p & (F.coalesce(F.size("institutions"), F.lit(0)) < 1)),
+        violation(records, "affiliations: publishable, not verified", p & ~F.coalesce(v.isin("confirmed", "corrected"), F.lit(False)), detail=v),
+        violation(records, "affiliations: publishable without text", p & (F.col("status") == "no_affiliation_text")),
+        violation(records, "affiliations: corrected without a reason", p & (v == "corrected") & missing(F.col("verify_note"))),
+        violation(of(occ_there, institutions, "inst"), "affiliations: unknown institution", F.lit(True), detail=F.col("inst")),
+        violation(occ_there, "affiliations: country code", ~missing(F.col("country")) & ~code(F.col("country")), detail=F.col("country")),
+        violation(occ_there, "affiliations: countries", lists & ((F.size("countries") == 0) | F.exists("countries", lambda c: ~code(c)) | ~missing(F.col("country")))),
+        violation(occ_there, "affiliations: unplaced with coordinates", (F.col("placed") == "unplaced") & (F.col("lat").isNotNull() | F.col("lon").isNotNull())),
+        violation(occ_there, "affiliations: half a coordinate", F.col("lat").isNull() != F.col("lon").isNull()),
+        violation(occ_there, "affiliations: range", ~(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))),
+    ]
+
+
 def uncovered(catalogue: DataFrame, records: DataFrame, gate: str) -> DataFrame:
     """GT-09: a warning for each entry without a record."""
     return violation(catalogue.join(records.select("id"), "id", "left_anti"), gate, F.lit(True))
@@ -105,3 +133,37 @@ def audit(v: DataFrame, as_of_year: int) -> DataFrame:
         ("near-duplicate display", "LOW", near.where("n > 1")),
     ]
     return union([violation(df, gate, F.lit(True)).withColumn("severity", F.lit(s)) for gate, s, df in rules])
+
+
+#: Venues that have a Findings track.
+FINDINGS_OK = ("acl", "emnlp", "naacl", "eacl", "aacl")
+
+
+def audit_sources(v: DataFrame, registry: DataFrame) -> DataFrame:
+    """GT-10, rules 4 to 6: findings (gate, id, detail, severity) over claimed records (id, status, venue, display, track, kind, year,
+    journal_ref, dblp_years) against the registry (id, name, full, kind, unregistered).
+
+    A journal reference agrees with a venue if it has the venue's short name, its id (spaces aside), or half (and two at least) of
+    the words of more than four letters of its full name. dblp_years: the years of exact titles outside the preprint list.
+    """
+    r = registry.select(F.col("id").alias("venue"), F.lower(F.coalesce("name", F.lit(""))).alias("_name"), F.lower(F.coalesce("full", F.lit(""))).alias("_full"), F.col("kind").alias("_kind"), F.coalesce("unregistered", F.lit(False)).alias("_un"))
+    rows = v.where(F.col("status").isin("published", "accepted")).join(r, "venue", "left")
+    ref = F.lower("journal_ref")
+    words = F.filter(F.split(F.coalesce("_full", F.lit("")), "[^a-z]+"), lambda w: F.length(w) > 4)
+    there = F.size(F.filter(words, lambda w: F.contains(ref, w)))
+    by_name = (F.coalesce("_name", F.lit("")) != "") & F.contains(ref, F.coalesce("_name", F.lit("")))
+    by_id = F.contains(F.replace(ref, F.lit(" "), F.lit("")), F.coalesce("venue", F.lit("")))
+    agrees = by_name | by_id | ((F.size(words) > 0) & (there >= F.greatest(F.lit(2), F.floor(F.size(words) / 2))))
+    ref_year = F.nullif(F.regexp_extract("journal_ref", r"\b(20\d{2})\b", 1), F.lit(""))
+    year = F.when(F.col("year").rlike("^[0-9]+$"), F.col("year"))
+    said = ~missing(F.col("journal_ref"))
+    findings = F.lower(F.coalesce("track", F.lit(""))).contains("findings") | F.lower(F.coalesce("display", F.lit(""))).contains("findings")
+    rules = [
+        ("findings outside the family", "MED", findings & ~F.coalesce(F.col("venue").isin(*FINDINGS_OK), F.lit(False)), F.col("display")),
+        ("venue disagrees with the journal reference", "MED", said & ~agrees, F.col("journal_ref")),
+        ("year disagrees with the journal reference", "MED", said & year.isNotNull() & ref_year.isNotNull() & (ref_year != year), ref_year),
+        ("year not among the index's", "MED", year.isNotNull() & (F.size("dblp_years") > 0) & ~F.array_contains("dblp_years", year), F.array_join(F.array_sort("dblp_years"), ",")),
+        ("venue not registered", "LOW", F.coalesce("_un", F.lit(False)), F.col("venue")),
+        ("kind differs from the registry", "LOW", ~missing(F.col("kind")) & F.col("_kind").isNotNull() & (F.col("kind") != F.col("_kind")) & ~F.col("_un"), F.col("kind")),
+    ]
+    return union([violation(rows, gate, F.coalesce(cond, F.lit(False)), detail=detail).withColumn("severity", F.lit(s)) for gate, s, cond, detail in rules])

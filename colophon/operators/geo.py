@@ -79,3 +79,55 @@ def merged_sites(sites: DataFrame, by: list[str], near: float = 0.3) -> DataFram
 
     agg = sites.withColumn("weight", F.col("weight").cast("bigint")).groupBy(*by).agg(F.aggregate(sorted_sites.cast(kind), F.array().cast(kind), step).alias("m"))
     return agg.select(*by, F.explode("m").alias("s")).select(*by, (-F.col("s.w")).alias("weight"), "s.lat", "s.lon")
+
+
+def site_rows(occurrences: DataFrame, institutions: DataFrame) -> DataFrame:
+    """AG-18: of each institution the distinct entries and models, those that it leads, and the same of each of its places.
+
+    occurrences: kind (bench or model), key, inst, lead, placed, city, lat, lon (those of the first lead only are marked lead).
+    institutions: id, name, site (struct of city, lat, lon: its first place, or null). An occurrence that is unplaced has no place; one
+    with coordinates has its own (named, if it is placed so), any other the institution's. A place counts distinct entries, and
+    named and defaulted occurrences. Occurrences of unknown institutions don't count.
+    """
+    known = institutions.select(F.col("id").alias("inst"), "name", "site")
+    own = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    rows = occurrences.join(known, "inst")
+    site = F.when(F.col("placed").eqNullSafe("unplaced"), None).when(own, F.struct("city", "lat", "lon")).otherwise(F.col("site"))
+    named = own & F.col("placed").eqNullSafe("named")
+    rows = rows.select("inst", "name", "kind", "key", F.col("lead").alias("lead"), site.alias("at"), named.alias("named"))
+    # one row for each entry at a place, then one for each entry
+    each = rows.groupBy("inst", "name", "at", "kind", "key").agg(F.bool_or("lead").alias("lead"), F.count_if("named").alias("named"), F.count_if(~F.col("named")).alias("defaulted"))
+    is_ = lambda kind, lead=False: F.count_if((F.col("kind") == kind) & (F.col("lead") if lead else F.lit(True)))
+    sites = each.where("at is not null").groupBy("inst", "at").agg(is_("bench").alias("bench_all"), is_("bench", True).alias("bench_lead"), is_("model").alias("models_all"), F.sum("named").alias("named"), F.sum("defaulted").alias("defaulted"))
+    sites = sites.groupBy("inst").agg(F.array_sort(F.collect_list(F.struct("at.city", "at.lat", "at.lon", "bench_all", "bench_lead", "models_all", "named", "defaulted"))).alias("sites"))
+    total = each.groupBy("inst", "name", "kind", "key").agg(F.bool_or("lead").alias("lead")).groupBy("inst", "name")
+    total = total.agg(is_("bench").alias("bench_all"), is_("bench", True).alias("bench_lead"), is_("model").alias("models_all"), is_("model", True).alias("models_lead"))
+    return total.join(sites, "inst", "left").withColumn("sites", F.coalesce("sites", F.array().cast(sites.schema["sites"].dataType)))
+
+
+def country_rows(occurrences: DataFrame, institutions: DataFrame) -> DataFrame:
+    """AG-19: of each country the distinct entries, entries led, models and institutions.
+
+    occurrences: kind (bench or model), key, inst, lead, country, countries. A bench's countries are the list's, or else its own
+    country, or else the institution's; the lead's country is the list's only one, or none of several. A model's is its own or the
+    institution's. A country that only a lead or only a model has comes out too.
+    """
+    known = institutions.select(F.col("id").alias("inst"), F.col("country").alias("home"))
+    rows = occurrences.join(known, "inst")
+    one = F.coalesce(F.nullif("country", F.lit("")), F.nullif("home", F.lit("")))
+    listed = F.coalesce(F.size("countries") > 0, F.lit(False)) & (F.col("kind") == "bench")
+    of = F.when(listed, F.col("countries")).otherwise(F.array(one))
+    lead = F.when(listed, F.when(F.size("countries") == 1, F.col("countries")[0])).otherwise(one)
+    where = rows.select("kind", "key", "inst", F.explode(F.array_distinct(of)).alias("country"))
+    led = rows.where(F.col("lead") & (F.col("kind") == "bench")).select(F.lit("lead").alias("kind"), "key", F.lit(None).cast(rows.schema["inst"].dataType).alias("inst"), lead.alias("country"))
+    long = where.unionByName(led).where("country is not null")
+    entries = long.select("country", "kind", "key").distinct().groupBy("country").agg(*[F.count_if(F.col("kind") == k).alias(n) for k, n in (("bench", "bench_all"), ("lead", "bench_lead"), ("model", "models"))])
+    insts = long.where("inst is not null").select("country", "inst").distinct().groupBy("country").agg(F.count("*").alias("institutions"))
+    return entries.join(insts, "country", "left").withColumn("institutions", F.coalesce("institutions", F.lit(0)))
+
+
+def model_dispositions(records: DataFrame) -> DataFrame:
+    """AG-24: state, n of model records (id, status, publishable, builders, present): no record, composite, incomplete, unknown, attributed."""
+    some = F.coalesce(F.size("builders") > 0, F.lit(False))
+    state = F.when(~F.col("present"), "no_record").when(F.col("status") == "composite", "composite").when(~F.col("publishable") & some, "incomplete").when(~F.col("publishable"), "unknown").otherwise("attributed")
+    return records.groupBy(state.alias("state")).agg(F.count("*").alias("n"))

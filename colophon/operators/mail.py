@@ -7,13 +7,18 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Patterns of instructions hidden in a message.
+# Patterns of instructions hidden in a message, in their order.
 INJECTION = (
-    r"(?i)ignore (?:all |any )?(?:previous|prior|above) (?:instructions|prompts)",
-    r"(?i)you are now [^.\n]{1,40}",
+    r"(?i)ignore (all |any |the )?(previous|prior|above)",
+    r"(?i)disregard (all |any |the )?(previous|prior|above)",
+    r"(?i)you are now",
     r"(?i)system prompt",
-    r"(?i)(?:api[_ -]?key|password|token)\s*[:=]",
-    r"(?i)run (?:the following|this) (?:command|script)",
+    r"(?i)</?(system|instructions?)>",
+    r"(?i)(reveal|print|output|send)\b.{0,24}(api[ _-]?key|password|token|credential)",
+    r"(?i)run (this|the following) (command|script|code)",
+    r"(?i)execute the following",
+    r"(?i)forward (this|all).{0,30}(to|at)\s",
+    r"(?i)post (this|it) (to|on)\b",
 )
 
 
