@@ -1,187 +1,51 @@
 """Near-copies by SimHash at a wide radius: texts with a similarity of 0.8 or more of their five-word shingles.
 
 At that similarity two fingerprints differ in about 15 % of their bits, more than any keys over bits can search, so fingerprints
-have 256 bits and are compared, bit-sliced, only among candidates. MinHash bands name these: texts under a common band are linked
-to the least of them, so no pairs of a group are listed, and the links' components hold all texts that are to be compared. Only
-these are read again. Each component goes to a task, which counts the distances of its fingerprints in bit planes; texts within
-the radius that aren't linked yet are compared by their shingles, and linked if their Jaccard similarity is 0.8 or more. A
-component of more than LIMIT texts is dealt by its bands instead. Equal sets are one text throughout.
-
-Two texts with a similarity of s share no band with a probability of (1 - s**ROWS)**BANDS: 7e-5 at 0.8, 2e-9 at 0.9. At 0.8 the
-fingerprints differ in 39 bits on average, with a deviation of 6; the radius is four deviations more.
+have 256 bits and are compared, bit-sliced, only among candidates, which MinHash bands name (similar_sets.py). Nodes within the
+radius are confirmed by their whole sets. Fingerprints of sets with few shingles scatter too much for a radius, so pairs with a
+set of fewer than FEW shingles are never ruled out by them.
+
+Two texts with a similarity of 0.8 share no band with a probability of 7e-5. Measured on random pairs of exactly that similarity,
+none of those with FEW shingles or more lies beyond the radius in 20,000 (a test draws them).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm._common import discard, materialise, small
-from colophon.llm.simhash import components, near_lanes, planes_of, wide_fingerprint
-
-#: Words of a shingle, least similarity, radius of the fingerprints, bands and MinHash rows in each, most texts of a component in one task.
-SIZE, ALIKE, RADIUS, BANDS, ROWS, LIMIT = 5, 0.8, 62, 24, 5, 4096
-_ODD = np.random.default_rng(42).integers(0, 2**32, (2, BANDS * ROWS), dtype=np.uint32) | np.uint32(1)
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-
-
-def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles; a text of fewer words is one shingle, one of no words has none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(w) for w in words], np.uint64)
-    n = max(len(h) - size + 1, 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(min(size, len(h))):
-        out = _mixed(out * _MIX + h[k : k + n])
-    return np.unique(out)
+from colophon.llm.similar_sets import Sketch, similar_sets
+from colophon.llm.simhash import near_lanes, planes_of, wide_fingerprint
 
+#: Words of a shingle, least similarity in per cent, radius of the fingerprints, shingles from which they count.
+SIZE, PERCENT, RADIUS, FEW = 5, 80, 62, 24
 
-def _node(s: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(s.tobytes())
 
+def _print(items: np.ndarray, least: np.ndarray) -> bytes:
+    return wide_fingerprint(items).astype("<u8").tobytes()
 
-def _bands(s: np.ndarray) -> np.ndarray:
-    """One hash for each band, different between bands; none of an empty set, which is only like itself."""
-    if not len(s):
-        return np.empty(0, np.int64)
-    low = (s >> np.uint64(32)).astype(np.uint32) ^ s.astype(np.uint32)
-    least = np.full(BANDS * ROWS, ~np.uint32(0))
-    for k in range(0, len(s), 2048):
-        part = low[k : k + 2048, None] * _ODD[0]
-        part ^= part >> np.uint32(15)
-        part *= _ODD[1]
-        least = np.minimum(least, part.min(axis=0))
-    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        out = _mixed(out * _MIX + rows[:, k])
-    return out.view(np.int64)
 
+def _pairs(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return (np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= RADIUS) | (np.minimum(n, m) < FEW)
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, np.uint64).view(np.int64))
 
+def _tile(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    near = near_lanes(planes_of(b), a, RADIUS)
+    lanes = np.unpackbits(near.view(np.uint8), axis=1, count=len(b), bitorder="little").astype(bool)
+    return lanes | (n[:, None] < FEW) | (m[None, :] < FEW)
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, key, node (a hash of the text's shingles) and bands of each row of docs (doc_id, key, text)."""
-    kind = docs.select("doc_id").schema[0].dataType
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                sets = [shingles(t) for t in batch.column("text").to_pylist()]
-                bands = pa.array([_bands(s) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), _signed([_node(s) for s in sets]), bands], ["doc_id", "key", "node", "bands"])
+WIDE_PRINT = Sketch(_print, _pairs, _tile)
 
-    return docs.mapInArrow(run, f"doc_id {kind.simpleString()}, key long, node long, bands array<long>")
 
-
-def _sets(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([_signed([_node(s) for s in sets]), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "items"])
-
-    return docs.select("text").mapInArrow(run, "node long, items array<long>")
-
-
-def similar(sets: list[np.ndarray], alike: float = ALIKE, radius: int = RADIUS) -> np.ndarray:
-    """For each of the sets (each of distinct values) the index of its component's root, by links of a Jaccard similarity of `alike` or more.
-
-    Only sets whose fingerprints are within the radius are compared, and only while they aren't linked.
-    """
-    n = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(ids, kind="stable")
-    owners = np.repeat(np.arange(n), sizes)[order]
-    heads = np.concatenate(([0], np.cumsum(np.bincount(ids))))
-    prints = np.stack([wide_fingerprint(s.view(np.uint64)) for s in sets])
-    planes = planes_of(prints)
-    root = np.arange(n)
-    for at in range(0, n, 512):
-        near = np.unpackbits(near_lanes(planes, prints[at : at + 512], radius).view(np.uint8), axis=1, count=n, bitorder="little").astype(bool)
-        for i in range(at, min(at + 512, n)):
-            if not (root[near[i - at]] != root[i]).any():
-                continue
-            own = ids[starts[i] : starts[i + 1]]
-            shared = np.zeros(n, np.int64)
-            for k in range(0, len(own), 1024):  # posting lists of the set's values
-                shared += np.bincount(np.concatenate([owners[heads[x] : heads[x + 1]] for x in own[k : k + 1024]]), minlength=n)
-            groups = np.unique(root[shared >= alike * (sizes + sizes[i] - shared) - 1e-9])
-            if len(groups) > 1:
-                root[np.isin(root, groups)] = groups[0]
-    return root
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (task, node, items) sorted by task and node; gives edges (a, b) of each task's texts."""
-    task, nodes, sets = None, [], []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if len(nodes) > 1:
-            root = similar(sets)
-            at = np.flatnonzero(root != np.arange(len(nodes)))
-            if len(at):
-                names = np.array(nodes, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(names[root[at]])], ["a", "b"])
-
-    for batch in batches:
-        tasks, names, items = (batch.column(k) for k in ("task", "node", "items"))
-        for k, (t, x) in enumerate(zip(tasks.to_pylist(), names.to_pylist(), strict=True)):
-            if t != task:
-                yield from flush()
-                task, nodes, sets = t, [], []
-            if not nodes or nodes[-1] != x:  # rows with the same id may give a text more than once
-                nodes.append(x)
-                sets.append(items[k].values.to_numpy())
-    yield from flush()
-
-
-def near_copies(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, key, component for each row of docs (doc_id, text), without regard to its other columns.
 
     key is the xxhash64 of the text. Rows have the same component if their texts can be reached from each other over links of
-    texts with a Jaccard similarity of 0.8 or more of their distinct shingles of five words. Words end at white space; ASCII
-    letters count without case; a text of fewer words is one shingle. Null and empty texts have no shingles and are alike.
-    Texts are read whole. Repeated rows come out as often as they go in; an empty table gives no rows.
+    texts with a Jaccard similarity of 0.8 or more of their distinct shingles of five words. Words end at ASCII white space;
+    ASCII letters count without case; a text of fewer words is one shingle. Null texts and texts without words have no shingles
+    and are alike. Texts are read whole. Repeated rows come out as often as they go in; an empty table gives no rows.
     """
-    docs = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    rows = materialise(_signatures(docs), "signatures")
-    banded = rows.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band", "low")
-    shared = materialise(shared, "bands")
-    edges = banded.join(small(shared), "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-    stars = components(edges)
-    stars = materialise(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "candidates")
-    sizes = materialise(stars.groupBy("root").count(), "sizes")
-    sized = stars.join(sizes, "root")
-    tasks = sized.where(F.col("count") <= limit).select("node", F.col("root").alias("task"))
-    big = sized.where(F.col("count") > limit).select("node")
-    split = banded.join(small(shared), "band").join(big, "node", "left_semi").select("node", F.col("band").alias("task")).distinct()
-    tasks = tasks.unionByName(split)
-
-    # one row of each candidate text is read again
-    first = rows.join(small(stars.select("node")), "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("f"))
-    first = materialise(first.select(F.col("f.doc_id").alias("_id"), F.col("f.key").alias("_key")), "texts")
-    texts = docs.join(small(first), docs["doc_id"].eqNullSafe(first["_id"]) & (docs["key"] == first["_key"]), "left_semi")
-    dealt = _sets(texts.select("text")).join(tasks, "node").select("task", "node", "items")
-    links = dealt.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_verify, "a long, b long")
-    roots = materialise(components(links), "roots")
-    discard(shared, stars, sizes, first)
-    return rows.join(small(roots), "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("component"))
+    rows, roots = similar_sets(docs, SIZE, PERCENT, WIDE_PRINT)
+    return rows.join(roots, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("component"))

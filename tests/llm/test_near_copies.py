@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline as P
 from colophon.llm import near_copies as N
+from colophon.llm import similar_sets as G
 from colophon.llm import simhash as S
 
 
@@ -47,16 +48,18 @@ def partition(names, groups):
     return sorted(sorted(x) for x in out.values())
 
 
-@pytest.mark.parametrize("limit", [4096, 3])
-def test_near_copies(spark, limit):
+@pytest.mark.parametrize("block", [128, 3])
+def test_near_copies(spark, block, monkeypatch):
+    """The same groups whether a group fits one tile or is dealt in many."""
+    monkeypatch.setattr(G, "BLOCK", block)
     rows = edited()
     want, pairs = plain_near(rows)
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, key int, node int").repartition(3)
     assert pairs > 50
     key = {r["t"]: r["k"] for r in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) as k").collect()}
-    got = N.near_copies(docs, limit).collect()
+    got = N.near_copies(docs).collect()
     assert partition([(r["doc_id"], r["key"]) for r in got], [r["component"] for r in got]) == partition([(i, key[t]) for i, t in rows], want)
-    if limit == 3:
+    if block == 3:
         assert N.near_copies(docs.limit(0)).count() == 0
 
 
@@ -102,15 +105,36 @@ def test_wide_bit_sliced_distances_are_exact(radius):
     assert (got == want).all() and want.sum() > 100
 
 
-def test_similar_compares_all_pairs():
+def test_tiles_connect_all_pairs():
+    """Left nodes are connected with all that they are alike to; settled right ones are connected already."""
     rng = np.random.default_rng(2)
-    sets = [np.unique(rng.integers(0, 60, rng.integers(20, 60))) for _ in range(60)]
-    root = N.similar(sets, 0.5, 256)
-    group = list(range(60))
-    for a, b in itertools.combinations(range(60), 2):
-        x, y = set(sets[a].tolist()), set(sets[b].tolist())
-        if len(x & y) >= 0.5 * len(x | y):
+    sets = [np.unique(rng.integers(0, 60, rng.integers(20, 60))).astype(np.uint64) for _ in range(60)]
+    any_pair = G.Sketch(lambda s, least: b"\0" * 8, None, lambda a, n, b, m: np.ones((len(a), len(b)), bool))
+    node = lambda k, settled=False: (k, len(sets[k]), b"\0" * 8, sets[k].tobytes(), settled)
+    alike = {(a, b) for a, b in itertools.combinations(range(60), 2) if 2 * len(np.intersect1d(sets[a], sets[b])) >= len(np.union1d(sets[a], sets[b]))}
+
+    def groups(edges):
+        group = list(range(60))
+        for a, b in edges:
             low, high = sorted((group[a], group[b]))
             group = [low if g == high else g for g in group]
-    same = lambda g: {(a, b) for a, b in itertools.combinations(range(60), 2) if g[a] == g[b]}
-    assert same(root) == same(group)
+        return {(a, b) for a, b in itertools.combinations(range(60), 2) if group[a] == group[b]}
+
+    got = G.tile_links(any_pair, 50, [node(k) for k in range(60)], [node(k) for k in range(60)])
+    assert groups(got) == groups(alike) and len(got) < 60 and len(alike) >= 20
+    settled = {(40, k) for k in range(41, 60)}
+    left, right = range(10), [*range(10), *range(40, 60)]
+    got = G.tile_links(any_pair, 50, [node(k) for k in left], [node(k, k >= 40) for k in right])
+    assert groups(settled | set(got)) == groups(settled | {(a, b) for a, b in alike if a < 10 and b in right})
+
+
+def test_prints_keep_pairs_at_the_bound():
+    """Random pairs of sets at exactly 0.8: those of FEW shingles and more lie within the radius."""
+    rng, lost = np.random.default_rng(5), 0
+    for k in range(3000):
+        n = 9 * (3 + k % 8)  # sets of 27 shingles and more that share 8 of 9
+        x = rng.integers(0, 2**63, n + n // 9, dtype=np.int64).astype(np.uint64)
+        a, b = np.unique(x[:n]), np.unique(x[n // 9 :])
+        pair = [np.frombuffer(N.WIDE_PRINT.of(s, G.minima(s)), "<u8")[None] for s in (a, b)]
+        lost += not N.WIDE_PRINT.pairs(pair[0], np.array([n]), pair[1], np.array([n]))[0]
+    assert lost <= 1
