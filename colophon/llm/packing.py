@@ -6,12 +6,14 @@ written rows, with their task's offset, are cut wherever the global position is
 piece is a boundary record. No ids are shuffled, and a text is tokenised once.
 
 Whole texts are encoded by tiktoken, from the vocabulary of the tokenizers file, where that file is a plain byte-level BPE whose
-ids are its merge ranks (the ids are the same, in a quarter of the time); else by tokenizers.
+ids are its merge ranks (the ids are the same, in a quarter of the time); else by tokenizers. Texts that have the string of an
+added token, which stands for its id, or a very long run of white space, over which tiktoken's pattern fails, go to tokenizers.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import sys
 from array import array
 from collections.abc import Iterator
@@ -26,6 +28,9 @@ from colophon.llm._common import materialise, small
 LENGTH = 2048
 #: Fixed value: the public pattern by which byte-level BPE cuts text before merging.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A run of white space that is left to tokenizers, and its length.
+RUN = 100_000
+_LONG_RUN = re.compile(rf"\s{{{RUN}}}")
 _workers: dict[str, _Encoder] = {}
 
 
@@ -56,17 +61,29 @@ class _Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.path, tokenizer = path, Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.ranked = _ranked(json.loads(tokenizer.to_str()))
+        spec = json.loads(tokenizer.to_str())
+        self.ranked = _ranked(spec)
         self.tokenizer = None if self.ranked else tokenizer
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+
+    def _odd(self, text: str) -> bool:
+        return bool(self.added and self.added.search(text)) or (len(text) >= RUN and bool(_LONG_RUN.search(text)))
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        if self.tokenizer is None:  # most workers never need a second one
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranked is None:
-            return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return self._plain(texts)
         code, kind = self.ranked.encode_ordinary, "H" if self.kind.itemsize == 2 else "I"
-        return [array(kind, code(t)).tobytes() for t in texts]
+        return [self._plain([t])[0] if self._odd(t) else array(kind, code(t)).tobytes() for t in texts]
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
@@ -98,7 +115,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 1)
     doc_id, start (the row's ids before the piece), length, ids (binary, little-endian unsigned 32-bit), doc_tokens (with the end
     id), sequence_id, offset (in the sequence; the pieces of a sequence leave no gap). tokenizer is the path of a tokenizers
     file on every executor; end_id ends each row. Null and empty texts give the end id alone. Repeated rows are packed as
-    often as they come; ids may be null; other columns are ignored; an empty table gives no rows. Texts are never cut short.
+    often as they come; ids may be null; other columns are ignored; an empty table gives no rows. Texts are never cut short, and
+    the string of an added token is that token.
     """
     from tokenizers import Tokenizer
 
