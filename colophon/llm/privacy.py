@@ -26,7 +26,12 @@ _DATE = r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w/-]|\.\
 _IP = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _PHONE = r"(?<![\w+(-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"
-_CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
+# groups of digits, 13 digits or more in all, up to a letter or to data of another kind
+_CARD = rf"(?<![\w-])(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:(?! (?:{_DATE}|{_IP}|{_SSN}|{_PHONE}))[ -]\d++(?!\w))*+"
+# Fixed value: first digits and lengths of cards by issuer.
+_ISSUED = r"^(?:4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d{2}|7[01]\d|720)\d{12}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11}|35\d{14}|6(?:011|5\d{2}|4[4-9]\d)\d{12}|62\d{14,17})$"
+#: Lengths of cards, the likely ones first.
+_LENGTHS = (16, 15, 14, 13, 19, 18, 17)
 PATTERN = "|".join((_MAIL, _HEX, _IBAN, _DATE, _IP, _SSN, _PHONE, _CARD))
 
 
@@ -98,15 +103,14 @@ def _mod97(x: Column) -> Column:
     )
 
 
-def _runs(m: Column, sep: str, least: int, most: int, first: bool) -> Column:
-    """head, body, tail: the parts of m at separators whose body has least to most characters without them, longest first; `first`: from m's start."""
+def _runs(m: Column, sep: str, least: int, most: int) -> Column:
+    """head, body, tail: the parts of m from its start to a separator whose body has least to most characters without them, longest first."""
     parts = F.split(m, f"(?=[{sep}])")  # a separator begins the part after it
     join = lambda p, a, n: F.array_join(F.slice(p, a, n), "")
 
     def cut(p: Column) -> Column:
         n = F.size(p)
-        starts = F.array(F.lit(1)) if first else F.sequence(F.lit(1), n)
-        runs = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(i, n), lambda j: F.struct(join(p, F.lit(1), i - 1).alias("head"), join(p, i, j - i + 1).alias("body"), F.when(j < n, join(p, j + 1, n - j)).otherwise(F.lit("")).alias("tail")))))
+        runs = F.flatten(F.transform(F.array(F.lit(1)), lambda i: F.transform(F.sequence(i, n), lambda j: F.struct(join(p, F.lit(1), i - 1).alias("head"), join(p, i, j - i + 1).alias("body"), F.when(j < n, join(p, j + 1, n - j)).otherwise(F.lit("")).alias("tail")))))
         # a part's own separator goes to the head
         runs = F.transform(runs, lambda r: F.transform(F.array(F.regexp_extract(r["body"], f"^[{sep}]*", 0)), lambda x: F.struct(F.concat(r["head"], x).alias("head"), F.substr(r["body"], F.length(x) + 1).alias("body"), r["tail"].alias("tail")))[0])
         size = lambda r: F.length(F.regexp_replace(r["body"], f"[{sep}]", ""))
@@ -122,19 +126,60 @@ def _best(m: Column, runs: Column, valid, new) -> tuple[Column, Column]:
     return F.size(good) > 0, F.transform(good, lambda r: F.concat(r["head"], new(r["body"]), r["tail"]))[0]
 
 
-def _card(m: Column, key: str) -> tuple[Column, Column]:
-    """13 to 19 digits; numbers beside a card's (a year, a check value), with separators, don't hide it."""
+def _cards(m: Column, key: str) -> Column:
+    """struct(shown, n): a chain of groups of digits with its cards replaced, and how many there are.
+
+    A card is a run of whole groups of 13 to 19 digits with a right check digit. Numbers beside it (a year, a check value) don't
+    hide it: from left to right, a group begins a card if a run from it is valid. Of several, runs with an issuer's first digits
+    and length come first, then the likelier length; another run is taken only if no issuer's card begins inside it.
+    """
 
     def valid(x: Column) -> Column:
-        d = _digits(x)
-        return (_luhn(d) % 10 == 0) & ~d.rlike("^0+$")
+        ok = lambda d: F.length(d).between(13, 19) & (_luhn(d) % 10 == 0) & ~d.rlike("^0+$")
+        return F.transform(F.array(_digits(x)), ok)[0]
 
     def new(x: Column) -> Column:
         d = _digits(x)
         body = permuted_digits(F.substr(d, F.lit(1), F.length(d) - 1), "card", key)
         return F.transform(F.array(body), lambda b: _refill(x, F.concat(b, ((10 - _luhn(F.concat(b, F.lit("0"))) % 10) % 10).cast("string"))))[0]
 
-    return _best(m, _runs(m, " -", 13, 19, first=False), valid, new)
+    def replaced(p: Column) -> Column:
+        n = F.size(p)
+        body = lambda i, j: F.array_join(F.slice(p, i, j - i + 1), "")
+        rank = lambda d: F.array_position(F.array(*map(F.lit, _LENGTHS)), F.length(d)).cast("int")
+
+        def best(i: Column) -> Column:
+            """struct(other, rank, end) of the run from group i that is taken, or null."""
+            ends = F.filter(F.sequence(i, F.least(n, i + 18)), lambda j: valid(body(i, j)))
+            return F.array_min(F.transform(ends, lambda j: F.transform(F.array(_digits(body(i, j))), lambda d: F.struct((~d.rlike(_ISSUED)).cast("int").alias("other"), rank(d).alias("rank"), j.alias("end")))[0]))
+
+        def chosen(e: Column) -> Column:
+            """For each group the end of its run, or 0."""
+            hidden = lambda x, i: (x["other"] == 1) & F.exists(F.slice(e, i + 2, x["end"] - i - 1), lambda y: F.coalesce(y["other"] == 0, F.lit(False)))
+            return F.transform(e, lambda x, i: F.when(x.isNull() | hidden(x, i), F.lit(0)).otherwise(x["end"]))
+
+        def walked(e: Column) -> Column:
+            # no run crosses the start of a segment, so each is walked by itself, and long chains in proportion to their length
+            starts = F.filter(F.sequence(F.lit(1), n), lambda i: ~F.exists(F.slice(e, F.greatest(i - 18, F.lit(1)), F.least(i - 1, F.lit(18))), lambda x: x >= i))
+            begin = F.struct(F.lit("").alias("shown"), F.lit(1).alias("next"), F.lit(0).alias("n"))
+
+            def step(s: Column, i: Column) -> Column:
+                end, first = F.element_at(e, i), F.element_at(p, i)
+                sep = F.regexp_extract(first, "^[ -]", 0)
+                taken = F.struct(F.concat(s["shown"], sep, new(F.substr(body(i, end), F.length(sep) + 1))).alias("shown"), (end + 1).alias("next"), (s["n"] + 1).alias("n"))
+                plain = F.struct(F.concat(s["shown"], first).alias("shown"), (i + 1).alias("next"), s["n"].alias("n"))
+                return F.when(i < s["next"], s).when(end > 0, taken).otherwise(plain)
+
+            def segments(at: Column) -> Column:
+                until = lambda k: F.coalesce(F.get(at, k + 1) - 1, n)
+                return F.transform(at, lambda i, k: F.aggregate(F.sequence(i, until(k)), begin, step))
+
+            return F.transform(F.array(F.transform(F.array(starts), segments)[0]), lambda x: F.struct(F.array_join(F.transform(x, lambda y: y["shown"]), "").alias("shown"), F.aggregate(x, F.lit(0), lambda a, y: a + y["n"]).alias("n")))[0]
+
+        ends = F.transform(F.sequence(F.lit(1), n), best)
+        return F.transform(F.array(F.transform(F.array(ends), chosen)[0]), walked)[0]
+
+    return F.transform(F.array(F.split(m, "(?=[ -])")), replaced)[0]
 
 
 def _iban(m: Column, key: str) -> tuple[Column, Column]:
@@ -152,7 +197,7 @@ def _iban(m: Column, key: str) -> tuple[Column, Column]:
         check = F.transform(F.array(filled), lambda b: F.concat(F.lpad((98 - _mod97(F.concat(b, F.substr(d, F.lit(1), F.lit(2)), F.lit("00")))).cast("string"), 2, "0"), _digits(b)))[0]
         return _refill(x, check)
 
-    return _best(m, _runs(m, " ", 15, 34, first=True), valid, new)
+    return _best(m, _runs(m, " ", 15, 34), valid, new)
 
 
 def _date(m: Column, key: str) -> tuple[Column, Column]:
@@ -227,13 +272,14 @@ def _mail(m: Column, key: str) -> tuple[Column, Column]:
 
 
 def _replaced(m: Column, key: str) -> Column:
-    """struct(kind, shown) of a match; kind is null if it isn't valid."""
-    kinds = [("mail", _MAIL, _mail), ("secret", _HEX, _secret), ("iban", _IBAN, _iban), ("date", _DATE, _date), ("ip", _IP, _ip), ("ssn", _SSN, _ssn), ("card", _CARD, _card), ("phone", _PHONE, _phone)]
-    none = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("shown"))
-    out = none
+    """struct(kind, shown, n) of a match; kind is null if it isn't valid, n counts what is replaced."""
+    kinds = [("mail", _MAIL, _mail), ("secret", _HEX, _secret), ("iban", _IBAN, _iban), ("date", _DATE, _date), ("ip", _IP, _ip), ("ssn", _SSN, _ssn), ("phone", _PHONE, _phone)]
+    none = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("shown"), F.lit(0).alias("n"))
+    cards = F.transform(F.array(_cards(m, key)), lambda c: F.struct(F.when(c["n"] > 0, F.lit("card")).alias("kind"), c["shown"].alias("shown"), c["n"].alias("n")))[0]
+    out = F.when(m.rlike(f"^(?:{_CARD})$"), cards).otherwise(none)
     for kind, pattern, rule in reversed(kinds):
         valid, shown = rule(m, key)
-        out = F.when(m.rlike(f"^(?:{pattern})$") & F.coalesce(valid, F.lit(False)), F.struct(F.lit(kind).alias("kind"), shown.alias("shown"))).otherwise(out)
+        out = F.when(m.rlike(f"^(?:{pattern})$") & F.coalesce(valid, F.lit(False)), F.struct(F.lit(kind).alias("kind"), shown.alias("shown"), F.lit(1).alias("n"))).otherwise(out)
     return out
 
 
@@ -258,8 +304,8 @@ def pseudonymise(docs: DataFrame, key: str, keep: list[str] | None = None) -> Da
     gaps = F.split("text", PATTERN, -1)
     filled = F.array_join(F.zip_with(gaps, F.transform("_new", lambda x: x["shown"]), lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))), "")
     valid = F.filter(F.transform("_new", lambda x: x["kind"]), lambda x: x.isNotNull())
-    found = F.coalesce(F.size(valid), F.lit(0))
+    found = F.coalesce(F.aggregate("_new", F.lit(0), lambda a, x: a + x["n"]), F.lit(0))
     return rows.select(
-        *keep, F.when(F.col("_new").isNull(), F.col("text")).otherwise(filled).alias("text"), F.greatest(found, F.lit(0)).alias("n_found"),
+        *keep, F.when(F.col("_new").isNull(), F.col("text")).otherwise(filled).alias("text"), found.alias("n_found"),
         F.coalesce(F.array_sort(F.array_distinct(valid)), F.array().cast("array<string>")).alias("kinds"),
     )

@@ -67,10 +67,32 @@ def test_pseudonyms_beside_other_numbers(spark):
     assert luhn(card) and got[2] == f"{card} 123" and got[3].replace("-", "") == f"no 12 {card}"
     assert re.fullmatch(r"BE\d\d \d{4} \d{4} \d{4} BIC", got[4]) and got[4] != rows[3][1]
     dates = re.findall(r"\d{4}-\d\d-\d\d", got[5])
+    assert got[8] == f"{' '.join(card[k : k + 4] for k in range(0, 16, 4))} 1111 1111"
     assert len(dates) == 3 and "0001" <= dates[0][:4] < "1900" and all("2100" <= d[:4] for d in dates[1:]) and got[5] != rows[4][1]
     assert "aaa" not in got[6] and re.fullmatch("key [0-9a-f]{300}", got[7]) and got[7] != rows[6][1] and got[9] == rows[8][1]
 
 
+def test_cards_beside_any_numbers(spark):
+    """A card is found whatever numbers stand before and behind it, with separators of either kind, and other data after it."""
+    rng = random.Random(9)
+    cards = ["4111 1111 1111 1111", "5500-0055-5555-5559", "3782 822463 10005", "6011111111111117", "4222222222222", "30569309025904"]
+    number = lambda: "".join(rng.choice("0123456789") for _ in range(rng.randint(1, 8)))
+    rows = []
+    for k in range(300):
+        card, sep = rng.choice(cards), rng.choice(" -")
+        before, behind = ([number() for _ in range(rng.randint(0, 3))] for _ in range(2))
+        rows.append((k, sep.join([*before, card, *behind]), card))
+    rows += [(900, "2024 4111 1111 1111 1111", cards[0]), (901, "1234 5678 9012 4111 1111 1111 1111", cards[0]), (902, "4111 1111 1111 1111 123-45-6789 x", cards[0]), (903, "4111 1111 1111 1111 4222222222222", cards[0])]
+    got = {r["doc_id"]: r for r in privacy.pseudonymise(docs_of(spark, [r[:2] for r in rows]), "key").collect()}
+    assert all(card not in got[k]["text"] and got[k]["n_found"] > 0 and len(got[k]["text"]) == len(text) for k, text, card in rows)
+    shown = got[900]["text"][5:]
+    assert got[900]["text"].startswith("2024 ") and got[901]["text"] == f"1234 5678 9012 {shown}" and got[903]["n_found"] == 2 and got[903]["text"].startswith(shown)
+    assert got[902]["text"].startswith(f"{shown} ") and "123-45-6789" not in got[902]["text"] and got[902]["kinds"] == ["card", "ssn"]
+    plain = ["1 " * 40_000, "12345678901234 " * 3 + "x" * 100_000, "1" * 100_000, "12-" * 30_000 + "a"]  # long chains take time in proportion
+    again = {r["doc_id"]: r["text"] for r in privacy.pseudonymise(docs_of(spark, list(enumerate(plain))), "key").collect()}
+    assert all(len(again[k]) == len(t) for k, t in enumerate(plain)) and again[2] == plain[2]
+
+
 def plain_network(a, b, range_a, range_b, tag, key):
     for i in range(1, privacy.ROUNDS + 1):
         m = range_a if i % 2 else range_b
@@ -111,7 +133,6 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     rng = random.Random(2)
     rows = [(k, "".join(rng.choice(" \n\tabcé日!9'<|") for _ in range(rng.randint(0, 400)))) for k in range(60)]
     rows += [(70, None), (71, ""), (72, "word " * 9000), (73, "<|endoftext|> a"), (None, "a b")]
@@ -138,6 +159,19 @@ def test_packing_round_trip(spark):
     assert twice.agg(F.sum("length")).first()[0] == 2 * (len(tok.encode("a b").ids) + 1)
 
 
+def test_long_white_space_and_added_tokens(spark):
+    """Runs of two million spaces, newlines or tabs, and the strings of added tokens, as by tokenizers."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = [c * 2_000_000 + "end" for c in " \n\t"] + ["a <|endoftext|> x", "<|endoftext|>", "plain", "w" * 300_000, "\u2003" * 200_000]
+    rows = packing.pack(docs_of(spark, list(enumerate(texts))), tokenizer_path(), 4096).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "ids"))).alias("p")).collect()
+    for r in rows:
+        ids = np.frombuffer(b"".join(p["ids"] for p in r["p"]), "<u4").tolist()
+        assert ids == [*tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1]
+    assert len(rows) == len(texts)
+
+
 def test_texts_are_encoded_as_by_tokenizers():
     from tokenizers import Tokenizer
 
@@ -147,7 +181,6 @@ def test_texts_are_encoded_as_by_tokenizers():
     xs = ["".join(rng.choice(" \n\tab1!é' s-日") for _ in range(rng.randint(0, 14))) for _ in range(4000)]
     xs += ["a" * 30_000, " " * 30_000, "日本" * 9000, "<|endoftext|>", "!?" * 20_000 + " x"]
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     want = [e.ids for e in tok.encode_batch(xs, add_special_tokens=False)]
     assert [np.frombuffer(b, w.kind).tolist() for b in w.encode(xs)] == want
 
