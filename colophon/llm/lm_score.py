@@ -35,8 +35,8 @@ from colophon.llm._common import discard, materialise
 #: the mixtures, parts of the count tables.
 CLASSES, GROUPS, BEFORE, PAIRS, UPDATES, STEP, PRIOR, DRAW, MIXES, PARTS = 128, 32, 4, 2048, 16, 0.4, 10.0, 30.0, 4, 8
 END, START = CLASSES - 2, CLASSES - 1
-#: Characters after which a chunk ends.
-CHUNK = 6_000_000
+#: Characters after which a chunk ends; words of a block of which one update of the mixtures learns.
+CHUNK, BLOCK = 2_000_000, 1 << 14
 #: Cells of the count tables: class triples; groups after the hashed word before; after that two before.
 TABLES = (CLASSES**3, CLASSES * BEFORE * CLASSES * GROUPS, CLASSES * BEFORE * CLASSES * GROUPS)
 
@@ -353,10 +353,11 @@ def _tokens(codes: np.ndarray, lens: np.ndarray, most: int = 1 << 17) -> Iterato
         a = b
 
 
-def mixed(model: Model, texts: DataFrame, chunks: int, updates: int = MIXES) -> Model:
-    """The model with its mixtures trained on the training texts of all chunks, a share of the chunks for each update (in few chunks, all).
+def mixed(model: Model, texts: DataFrame, updates: int = MIXES) -> Model:
+    """The model with its mixtures trained on the training texts of all chunks: each block of words is learned from in one of the updates.
 
-    An update is one job: partitions add up how likely each of the mixed models is to have made the tokens.
+    An update is one job: partitions add up how likely each of the mixed models is to have made the tokens; the mixture before
+    weighs as much as one token.
     """
     context = texts.sparkSession.sparkContext
     for k in range(updates):
@@ -369,14 +370,17 @@ def mixed(model: Model, texts: DataFrame, chunks: int, updates: int = MIXES) ->
                     ids, lens, out, codes = _unpacked(blob)
                     train = np.repeat(out == 0, lens)
                     words, sizes = codes[ids[train]], lens[out == 0].astype(np.int64)
-                    for t, w in _tokens(words, sizes):
+                    for n, (t, w) in enumerate(_tokens(words, sizes, BLOCK)):
+                        if n % updates != k:  # noqa: B023
+                            continue
                         for j, p in enumerate(m.parts(*_steps(words[w], sizes[t]))):
                             made = m.mix[j][:, None] * p
                             total[j] += (made / made.sum(axis=0)).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["g"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.ravel()], ["c0", "c1", "c2", "g0", "g1", "g2"])
 
-        some = texts if chunks < 4 * updates else texts.where(F.pmod(F.xxhash64("chunk"), F.lit(updates)) == k)
-        total = sum((np.frombuffer(r["g"]).reshape(2, 3) for r in some.select("blob").mapInArrow(_tidy(run), "g binary").collect()), np.full((2, 3), 1.0))  # a row for each task
+        found = texts.select("blob").mapInArrow(_tidy(run), "c0 double, c1 double, c2 double, g0 double, g1 double, g2 double")
+        total = np.array(found.agg(*[F.sum(c) for c in found.columns]).first(), float).reshape(2, 3)
+        total = np.nan_to_num(total) + model.mix
         model.mix = total / total.sum(axis=1, keepdims=True)
         held.destroy()
     return model
@@ -433,12 +437,16 @@ def lm_scores(docs: DataFrame, held_out: Column, chunk: int = CHUNK, updates: in
 
 def fit(docs: DataFrame, held_out: Column, chunk: int = CHUNK, updates: int = UPDATES) -> tuple[Model, int, int, DataFrame, DataFrame, int]:
     """The model, training tokens, training texts, the tables of chunks and of their words' counts, and the number of chunks."""
-    parts = max(16, docs.rdd.getNumPartitions())  # of words, by hash
+    parts = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # of words, by hash
     made = materialise(_chunks(docs, F.coalesce(held_out, F.lit(False)).cast("int"), chunk, parts), "chunks")
     words = made.where("kind = 0").select("chunk", "part", "blob").repartition(parts, "part")
     met = materialise(words.mapInArrow(_tidy(_met), "chunk long, blob binary"), "met")
-    tables = made.where("kind >= 2").select("kind", "part", "blob").repartition(len(TABLES) * PARTS, "kind", "part")
-    tables = materialise(tables.mapInArrow(_tidy(_added), "kind int, part int, blob binary"), "tables")
+    counted = made.where("kind >= 2").select("kind", "part", F.shiftrightunsigned("chunk", 32).alias("task"), "blob")
+    # sums in a tree: of n tasks the root of n meets in one place, then the sums of these places
+    fan = max(1, round((counted.agg(F.max("task")).first()[0] or 0) ** 0.5))
+    some = counted.repartition("kind", "part", F.col("task") % fan).mapInArrow(_tidy(_added), "kind int, part int, blob binary")
+    tables = some.repartition(len(TABLES) * PARTS, "kind", "part").mapInArrow(_tidy(_added), "kind int, part int, blob binary")
+    tables = materialise(tables, "tables")
     sizes, kinds = np.zeros((2, CLASSES * GROUPS), np.int64)
     for r in met.where("chunk = -1").select("blob").collect():  # a row of a fixed size for each part
         x, y = _unpacked(r["blob"])
@@ -452,6 +460,6 @@ def fit(docs: DataFrame, held_out: Column, chunk: int = CHUNK, updates: int = UP
     model = Model(class_table(train(tables.where("kind = 2"), updates)), whole, sizes, kinds, ends)
     model.words = int(kinds.sum()) + (ends > 0)
     chunks = made.where("kind = 1").count()
-    model = mixed(model, made.where("kind = 1").select("chunk", "blob"), chunks)
+    model = mixed(model, made.where("kind = 1").select("chunk", "blob"))
     discard(tables)
     return model, int(sizes.sum()) + ends, ends, made, met, chunks
