@@ -8,6 +8,28 @@ from pyspark.sql import functions as F
 from colophon.functions import textnorm as T
 
 CONFIRMED = ("confirmed", "corrected")
+# Cities that are places of their own: how a printed city begins, its name and code; and where they are.
+OWN_PLACES = (("hong kong", "Hong Kong", "HK"), ("maca", "Macau", "MO"))
+OWN_SITES = (("HK", "Hong Kong", 22.32, 114.17), ("MO", "Macau", 22.2, 113.55), ("SG", "Singapore", 1.35, 103.82))
+
+
+def own_places(occ: DataFrame) -> DataFrame:
+    """FN-50: occurrences (printed_city, printed_country) with the city and the code of places of their own put right."""
+    low = F.lower("printed_city")
+    city, country = F.col("printed_city"), F.col("printed_country")
+    for start, name, code in OWN_PLACES:
+        city, country = F.when(low.startswith(start), name).otherwise(city), F.when(low.startswith(start), code).otherwise(country)
+    return occ.withColumns({"printed_city": city, "printed_country": country})
+
+
+def with_own_sites(sites: DataFrame, occ: DataFrame) -> DataFrame:
+    """FN-50: printed sites (city, country, lat, lon), and for printed cities of OWN_SITES' countries that they lack the country's own site."""
+    spark = sites.sparkSession
+    own = spark.createDataFrame([(code, lat, lon) for code, _, lat, lon in OWN_SITES], "country string, lat double, lon double")
+    printed = occ.where("printed_city is not null").select(F.col("printed_city").alias("city"), F.col("printed_country").alias("country")).distinct()
+    known = sites.select(F.lower("city").alias("_c"), F.col("country").alias("_k"))
+    lacking = printed.join(known, (F.lower("city") == F.col("_c")) & (F.col("country") == F.col("_k")), "left_anti").join(F.broadcast(own), "country")
+    return sites.select("city", "country", "lat", "lon").unionByName(lacking.select("city", "country", "lat", "lon"))
 
 
 def placed(occ: DataFrame, aliases: DataFrame, sites: DataFrame) -> DataFrame:

@@ -55,20 +55,23 @@ def connectivity(members: DataFrame) -> DataFrame:
     return reached(members.select("group", "member").distinct(), evidence_edges(members))
 
 
+def _keyed(cells: DataFrame, assigned: DataFrame) -> DataFrame:
+    named = cells.join(assigned.select("fp", "group"), "fp", "left")
+    return named.withColumn("key", F.coalesce(F.concat(F.lit("alias:"), "group"), F.concat(F.lit("raw:"), "metric")))
+
+
 def metric_index(cells: DataFrame, assigned: DataFrame) -> DataFrame:
     """PR-04, JN-20: benchmark, key (alias:<group> or raw:<metric>), model, cells (their ords in order).
 
     cells: ord, fp, benchmark, metric, model. assigned: fp, group. Cells without an assignment stay under their raw name.
     """
-    named = cells.join(assigned.select("fp", "group"), "fp", "left")
-    key = F.coalesce(F.concat(F.lit("alias:"), "group"), F.concat(F.lit("raw:"), "metric"))
-    return named.withColumn("key", key).groupBy("benchmark", "key", "model").agg(F.array_sort(F.collect_list("ord")).alias("cells"))
+    return _keyed(cells, assigned).groupBy("benchmark", "key", "model").agg(F.array_sort(F.collect_list("ord")).alias("cells"))
 
 
 def option_counts(cells: DataFrame, assigned: DataFrame) -> DataFrame:
     """AG-31: of each benchmark its metric options before and after aliasing, and cells with several sources."""
-    index = metric_index(cells, assigned)
-    after = index.groupBy("benchmark").agg(F.count_distinct("key").alias("after"), F.count_if(F.size("cells") > 1).alias("multi"))
+    index = _keyed(cells, assigned).groupBy("benchmark", "key", "model").agg(F.count("*").alias("n"))  # counts, not lists of cells
+    after = index.groupBy("benchmark").agg(F.count_distinct("key").alias("after"), F.count_if(F.col("n") > 1).alias("multi"))
     return cells.groupBy("benchmark").agg(F.count_distinct("metric").alias("before")).join(after, "benchmark")
 
 

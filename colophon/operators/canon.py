@@ -56,12 +56,25 @@ def enough_cells(kept: DataFrame, least: int = 3) -> DataFrame:
 
 
 def refusals(refused: DataFrame, bucket: Column, name: Column, samples: int = 8) -> DataFrame:
-    """AG-15: of each refused (bucket, name): cells, distinct benchmarks and sources, and the first samples in order."""
+    """AG-15: of each refused (bucket, name): cells, distinct benchmarks, sources and metrics, and the first benchmarks in order."""
     rows = refused.select(bucket.alias("bucket"), name.alias("name"), "benchmark", "source", "metric")
     agg = rows.groupBy("bucket", "name").agg(
         F.count("*").alias("cells"), F.count_distinct("benchmark").alias("n_benchmarks"), F.count_distinct("source").alias("n_papers"), F.count_distinct("metric").alias("n_metrics"),
     )
-    w = Window.partitionBy("bucket", "name").orderBy("benchmark")
-    first = rows.select("bucket", "name", "benchmark").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= samples)
-    first = first.groupBy("bucket", "name").agg(F.array_join(F.array_sort(F.collect_list("benchmark")), ",").alias("benchmarks"))
-    return agg.join(first, ["bucket", "name"])
+    return agg.join(_samples(rows, ["bucket", "name"], "benchmark", samples).withColumnRenamed("benchmark", "benchmarks"), ["bucket", "name"])
+
+
+def _samples(rows: DataFrame, by: list[str], col: str, most: int) -> DataFrame:
+    """The first `most` distinct values of a column in each group, joined by commas; groups without a value have no row."""
+    first = rows.where(F.col(col).isNotNull()).select(*by, col).distinct().withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(col))).where(F.col("r") <= most)
+    return first.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(col)), ",").alias(col))
+
+
+def refusal_samples(refused: DataFrame, bucket: Column, name: Column) -> DataFrame:
+    """AG-15: of each refused (bucket, name) where it was seen: the first eight benchmarks and papers and four metrics, distinct, in order."""
+    by = ["bucket", "name"]
+    rows = refused.select(bucket.alias("bucket"), name.alias("name"), *[F.col(c).cast("string").alias(c) for c in ("benchmark", "source", "metric")])
+    out = rows.select(*by).distinct()
+    for col, most in (("benchmark", 8), ("source", 8), ("metric", 4)):
+        out = out.join(_samples(rows, by, col, most), by, "left")
+    return out.select(*by, *[F.coalesce(c, F.lit("")).alias(n) for c, n in (("benchmark", "benchmarks"), ("source", "papers"), ("metric", "metrics"))])

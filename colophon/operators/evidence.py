@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions import textnorm as T
+from colophon.sources.tables import scratch
 
 # Crossref's types of publication records; the prefix of preprint DOIs.
 PUBLISHED_TYPES = ("proceedings-article", "journal-article", "book-chapter")
@@ -82,5 +83,7 @@ def promotion_fixpoint(hits: DataFrame, adjudicate, history: DataFrame, most: in
         fresh = adjudicate(open_).select("id", "url").distinct().join(history, ["id", "url"], "left_anti")
         if fresh.isEmpty():
             return decided, history
-        history = history.select("id", "url").unionByName(fresh)
+        path = scratch(history.sparkSession, "promoted")
+        history.select("id", "url").unionByName(fresh).write.parquet(path)  # so that a turn doesn't evaluate those before it again
+        history = history.sparkSession.read.schema(fresh.schema).parquet(path)
     raise RuntimeError("promotion did not settle")

@@ -49,11 +49,31 @@ def decision(a: str = "a_", b: str = "b_") -> Column:
     )
 
 
+def _keys(side: DataFrame, ident: str, p: str, often: DataFrame) -> DataFrame:
+    """ident, k: block keys such that any two sides that the tree may match by a shared full name share one.
+
+    A match that isn't of equal titles needs a shared name and: the same head; or a token similarity of 0.6, so that of both sides'
+    tokens, rarest first, the leading 40 % have one in common; or four shared names, so two. A frequent name thus meets only
+    records that are alike in one more thing.
+    """
+    who = F.col(f"{p}full")
+    tokens = side.select(ident, F.explode(f"{p}tokens").alias("token")).join(often, "token", "left")
+    ranked = tokens.groupBy(ident).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))).alias("t"))  # a title's tokens
+    lead = F.size("t") - F.ceil(F.size("t") * 0.6 - 1e-9).cast("int") + 1
+    words = ranked.select(ident, F.transform(F.slice("t", 1, lead), lambda x: F.concat(F.lit("t "), x["token"])).alias("second"))
+    head = F.when(F.col(f"{p}head") != "", F.array(F.concat(F.lit("h "), F.col(f"{p}head")))).otherwise(F.array().cast("array<string>"))
+    rows = side.join(words, ident, "left").select(ident, who.alias("who"), F.concat(head, F.coalesce("second", F.array().cast("array<string>"))).alias("second"))
+    # a name with a head or a token; and each pair of names, once
+    own = F.flatten(F.transform("who", lambda w: F.transform("second", lambda s: F.concat(w, F.lit("\n"), s))))
+    both = F.flatten(F.transform("who", lambda w: F.transform(F.filter("who", lambda v: v > w), lambda v: F.concat(w, F.lit("\nn "), v))))
+    return rows.select(ident, F.explode(F.array_distinct(F.concat(own, both))).alias("k"))
+
+
 def best_matches(catalogue: DataFrame, records: DataFrame) -> DataFrame:
     """JN-10, JN-11, WN-06: for each entry of the catalogue (id, title, authors) its best record (rec, rec_title, rec_authors).
 
-    Records with the same normalised title come first (an equi-join). The other entries meet only records that share a full
-    name with them: both sides are exploded by that block key and joined on it, pairs are made distinct, and the tree decides.
+    Records with the same normalised title come first (an equi-join). The other entries meet only records with which they share a
+    block key (`_keys`: a full name and one more thing, without loss); pairs are made distinct, and the tree decides.
     The best is that of the highest kind, then score, then the least record id. Entries without a match have no row.
     """
     a = prepared(catalogue, "title", "authors", "a_")
@@ -61,7 +81,8 @@ def best_matches(catalogue: DataFrame, records: DataFrame) -> DataFrame:
     same = a.where("a_norm <> ''").join(b.select("rec", "b_norm"), F.col("a_norm") == F.col("b_norm")).groupBy("id").agg(F.min("rec").alias("rec"))
     exact = same.select("id", "rec", F.lit("exact").alias("kind"), F.lit(1.0).alias("score"))
     left = a.join(same.select("id"), "id", "left_anti")
-    pairs = left.select("id", F.explode("a_full").alias("k")).join(b.select("rec", F.explode("b_full").alias("k")), "k").select("id", "rec").distinct()
+    often = b.select(F.explode("b_tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    pairs = _keys(left, "id", "a_", often).join(_keys(b, "rec", "b_", often), "k").select("id", "rec").distinct()
     scored = measured(pairs.join(left, "id").join(b, "rec")).select("id", "rec", decision().alias("m"))
     scored = scored.where("m.kind is not null").select("id", "rec", "m.kind", "m.score")
     rank = F.create_map(*[F.lit(x) for kv in RANK.items() for x in kv])[F.col("kind")]

@@ -62,6 +62,17 @@ def batches(df: DataFrame, size: int, order: list[Column | str], partitions: int
     return placed.withColumn("batch", F.floor((F.col("_before") + F.col("_rank")) / size) + 1).drop("_part", "_rank", "_before")
 
 
+def numbered_in(df: DataFrame, key: str, order: list[Column | str], name: str) -> DataFrame:
+    """FN-17: df with the number of each row among those of its key, from 1 on, in the order.
+
+    Rows are numbered over all keys by ranges, and count from their key's first place, so a frequent key isn't sorted in one task.
+    """
+    placed = batches(df, 1, [F.col(key), *order])
+    first = placed.groupBy(key).agg(F.min("batch").alias("_first"))
+    rows = placed.join(first.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")))
+    return rows.withColumn(name, F.col("batch") - F.col("_first") + 1).drop("batch", "_first", "_key")
+
+
 def single_hop_aliases(mentions: DataFrame) -> DataFrame:
     """GR-02: key, target: keys that share a paper with an earlier key become it, in one hop; the last such paper decides.
 

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-AGGREGATE = r"(?i)\b(overall|average|avg|mean|total|macro)\b"
-
-
 def best_metric(cells: DataFrame, is_aggregate: Column) -> DataFrame:
     """PR-01: of each benchmark one metric: an aggregate first, then the one most models have, then by name; `others` counts the rest."""
     per = cells.groupBy("benchmark", "metric").agg(F.count_distinct("model").alias("models"), F.bool_or(is_aggregate).alias("agg"))

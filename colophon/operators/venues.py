@@ -43,3 +43,14 @@ def ranking(records: DataFrame) -> DataFrame:
 def crosstab(df: DataFrame, row: Column, col: str, values: list[str]) -> DataFrame:
     """AG-28: counts of each row by column value; the values are given, so one pass is enough."""
     return df.groupBy(row.alias("row")).agg(*[F.count_if(F.col(col) == v).alias(v) for v in values], F.count("*").alias("total"))
+
+
+def venue_ids(records: DataFrame) -> DataFrame:
+    """AG-26: venue and ids, the entries of each venue in order. A venue's entries are in the result, so they meet in one row."""
+    return records.groupBy("venue").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
+def counters(records: DataFrame, columns: list[str]) -> DataFrame:
+    """AG-34: counter, value, n: how often each value of each column occurs, in one pass; null counts as the empty value."""
+    cells = F.array(*[F.struct(F.lit(c).alias("counter"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in columns])
+    return records.select(F.explode(cells).alias("c")).groupBy("c.counter", "c.value").agg(F.count("*").alias("n"))

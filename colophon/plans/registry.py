@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 #: Modules of this package that register queries.
-MODULES = ("stats", "text", "canon", "pool", "geo", "gates", "sources", "records", "orders", "assembly", "evidence", "fields", "roundtrips", "venue_sources", "places", "shapes")
+MODULES = ("stats", "text", "canon", "pool", "geo", "gates", "sources", "records", "orders", "assembly", "evidence", "fields", "roundtrips", "venue_sources", "places", "shapes", "wide")
 
 
 def _load() -> None:

@@ -12,9 +12,11 @@ from colophon.sources.tables import scratch, table
 from colophon.streaming import crawl
 
 
-@query("month_windows", "SELECT strftime(d, '%Y-%m') AS month, strftime(d, '%Y%m%d') AS \"from\", strftime(d + INTERVAL 1 MONTH, '%Y%m%d') AS \"to\" FROM (SELECT unnest(generate_series(DATE '2025-01-01', DATE '2026-08-01', INTERVAL 1 MONTH)) AS d)")
+@query("month_windows", "SELECT strftime(d, '%Y-%m') AS month, strftime(d, '%Y%m%d') AS \"from\", strftime(d + INTERVAL 1 MONTH, '%Y%m%d') AS \"to\" FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)::DATE), date_trunc('month', max(o_orderdate)::DATE), INTERVAL 1 MONTH)) AS d FROM orders)")
 def month_windows(spark: SparkSession, d: str) -> DataFrame:
-    return P.month_windows(spark, "2025-01", "2026-08")
+    """SRC-27: the months of all orders."""
+    first, last = table(spark, d, "orders").agg(F.date_format(F.min("o_orderdate"), "yyyy-MM"), F.date_format(F.max("o_orderdate"), "yyyy-MM")).first()
+    return P.month_windows(spark, first, last)
 
 
 @query("query_windows", "SELECT n_nationkey AS q, strftime(d, '%Y-%m') AS month, 'abs:' || n_name || ' AND submittedDate:[' || strftime(d, '%Y%m%d') || '0000 TO ' || strftime(d + INTERVAL 1 MONTH, '%Y%m%d') || '0000]' AS query FROM nation, (SELECT unnest(generate_series(DATE '2025-11-01', DATE '2026-02-01', INTERVAL 1 MONTH)) AS d)")

@@ -59,9 +59,9 @@ def every_cell_sourced(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").agg(F.every(F.col("l_orderkey").isNotNull()).alias("every_sourced"), F.every(F.col("l_quantity") > 1).alias("every_above_one"))
 
 
-@query("adoption_hist", with_views(CELLS, "a AS (SELECT benchmark, count(DISTINCT source) AS papers FROM v_cells WHERE NOT own AND value >= 49 GROUP BY 1)") + " SELECT papers, count(*) AS benchmarks FROM a GROUP BY 1")
+@query("adoption_hist", with_views(CELLS, "a AS (SELECT benchmark, count(DISTINCT source) AS papers FROM v_cells WHERE NOT own GROUP BY 1)") + " SELECT papers, count(*) AS benchmarks FROM a GROUP BY 1")
 def adoption_hist(spark: SparkSession, d: str) -> DataFrame:
-    per = op.adoption(cells(spark, d).where("value >= 49"))
+    per = op.adoption(cells(spark, d))
     return per.groupBy("papers").agg(F.count("*").alias("benchmarks"))
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import scoring as S
 from colophon.functions import textnorm as T
 from colophon.operators.match import best_matches
+from colophon.operators.pool import numbered_in
 from colophon.plans.registry import query
 from colophon.plans.views import PAPERS, papers, with_views
 from colophon.sources.tables import table
@@ -66,8 +67,7 @@ _SLUGS = r"s AS (SELECT id, left(regexp_replace(regexp_replace(lower(title), '[^
 def unique_slugs(spark: SparkSession, d: str) -> DataFrame:
     """FN-17: a slug that occurred before gets -2, -3 and so on, in order."""
     s = papers(spark, d).select("id", T.slug(F.col("title"), 24).alias("base"))
-    k = F.row_number().over(Window.partitionBy("base").orderBy("id"))
-    return s.withColumn("k", k).select("id", F.when(F.col("k") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("k").cast("string"))).alias("slug"))
+    return numbered_in(s, "base", ["id"], "k").select("id", F.when(F.col("k") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("k").cast("string"))).alias("slug"))
 
 
 #: A profile for the generated prose, whose words are those of no language.

@@ -51,6 +51,15 @@ def fill_template(template: str, marker: str, text: str) -> str:
     return template.replace(marker, text)
 
 
+def filled(template: str, values: dict[str, Column]) -> Column:
+    """SNK-06, GT-12: a page of each row: every marker, which the template must have, replaced literally by the row's text."""
+    out = F.lit(template)
+    for marker, value in values.items():
+        fill_template(template, marker, "")
+        out = F.replace(out, F.lit(marker), F.coalesce(value, F.lit("")))
+    return out
+
+
 def stats_document(df: DataFrame) -> DataFrame:
     """SNK-07: one row of statistics as one JSON text."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
