@@ -92,10 +92,10 @@ class _Page:
         self.stack.append(Node(self.stack[-1] if self.stack else None, tag, marks, unseen))
         self.unseen += unseen
 
-    def text(self, chunk: str) -> None:
+    def text(self, chunk: str, decoded: bool = False) -> None:
         if self.unseen or not chunk:
             return
-        if _REF.search(chunk):
+        if not decoded and _REF.search(chunk):
             if "&#" in chunk:
                 chunk = _HUGE.sub("\ufffd", _ZEROS.sub("&#", chunk))
             chunk = html.unescape(chunk)
@@ -194,6 +194,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         if tag in RAW:  # their content isn't markup
             found = _RAW_END[tag].search(page, at)
+            if tag == "xmp":  # shown as it stands
+                marks, hidden = _attributes(attributes) if attributes else ((), False)
+                p.close_block()
+                p.push(tag, marks, hidden)
+                p.text(page[at : found.start() if found else len(page)], decoded=True)
+                p.close_block()
+                p.pop_to(p.at[tag][-1])
             at = begin = (page.find(">", found.end()) + 1 or len(page)) if found else len(page)
             continue
         marks, hidden = _attributes(attributes) if attributes else ((), False)

@@ -21,6 +21,11 @@ def test_hidden(attrs):
     assert leaf_blocks(f"<p {attrs}>gone</p>") == []
 
 
+def test_listings_are_shown_as_they_stand():
+    got = leaf_blocks("<p>a<xmp class=code>x &lt; <b>y</b>\n  z</xmp>b</p><xmp hidden>gone</xmp><div style='display:none'><xmp>gone</xmp></div><xmp>open <p>")
+    assert [b.text for b in got] == ["a", "x &lt; <b>y</b> z", "b", "open <p>"] and got[1].marks == ("code",)
+
+
 def test_marks_come_from_their_attributes():
     assert leaf_blocks('<p data-class="no" title="id=no" class="Main text" id=top>x</p>')[0].marks == ("main", "text", "top")
 
