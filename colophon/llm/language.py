@@ -104,17 +104,17 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Centroids | None:
     """Centroids from a sample of docs (doc_id, text, lang), in equal parts for each language; None of no labelled text.
 
-    The sample is drawn by a hash of doc_id, at most sample/languages rows each; document frequencies and floors are the sample's.
+    The sample is drawn by a hash of id and text, so that rows that share an id are drawn apart, at most sample/languages rows each; document frequencies and floors are the sample's.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     sizes = {r["lang"]: r["count"] for r in docs.where(F.col("lang").isNotNull()).groupBy("lang").count().collect()}  # a row for each language
     if not sizes:
         return None
     each = max(1, sample // len(sizes))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
     share = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1_000_000, int(1_500_000 * each / n) + 1))])
     rows = rows.where(draw < share[F.col("lang")])
-    # the hash of a repeated id may pass many rows; the rank bounds them
+    # the hash of a repeated row may pass many rows; the rank bounds them
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(7)), F.xxhash64("text"))
     rows = rows.select("lang", "doc_id", "text").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= each)
 
