@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions import textnorm as T
+from colophon.operators.match import decision, measured, prepared
 from colophon.sources.tables import scratch
 
 # Crossref's types of publication records; the prefix of preprint DOIs.
@@ -53,6 +54,17 @@ def candidates(hits: DataFrame, most: int = 6) -> DataFrame:
     return first.withColumn("match", kind).where(F.col("match").isNotNull() & not_preprint(F.col("doi")))
 
 
+def tree_candidates(hits: DataFrame, most: int = 6) -> DataFrame:
+    """JN-12, FN-10: of the first `most` results of each title search, those that the title match accepts and that aren't preprints.
+
+    hits: id, ord, title, authors, found, found_authors (arrays of names), doi. Adds kind (exact, fuzzy, weak) and score, for each
+    result by itself.
+    """
+    first = hits.where(F.col("ord") < most).where(long_enough(F.col("title")) & not_preprint(F.col("doi")))
+    both = measured(prepared(prepared(first, "title", "authors", "a_"), "found", "found_authors", "b_"))
+    return both.select(*hits.columns, decision().alias("_m")).where("_m.kind is not null").select(*hits.columns, "_m.kind", "_m.score")
+
+
 def preferred(hits: DataFrame, rank: Column, order: str = "ord") -> DataFrame:
     """WN-11: of each entry the hit of the least rank, the first of equals; hits of null rank never decide."""
     ranked = hits.withColumn("_rank", rank).where("_rank is not null")

@@ -51,6 +51,20 @@ def title_candidates(spark: SparkSession, d: str) -> DataFrame:
     return op.candidates(rows).groupBy("match").agg(F.count("*").alias("n"))
 
 
+@query("tree_candidates", "SELECT p_partkey AS id, ['exact', '', 'weak', '', 'fuzzy', ''][p_partkey % 6 + 1] AS kind FROM part WHERE p_partkey % 6 IN (0, 2, 4) AND p_size % 8 < 6")
+def tree_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """JN-12, FN-10: results with the same title, a preprint's, another title by the same four authors, another title, a shorter title by the same two, two words."""
+    k = F.col("p_partkey") % 6
+    w = F.initcap(F.translate(F.col("p_partkey").cast("string"), "0123456789", "abcdefghij"))
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    title = F.when(k == 5, c("Two ", w)).otherwise(c("Measuring ", w, " voices in quiet rooms under heavy noise"))
+    found = F.when(k <= 1, F.upper(c(title, "!"))).when(k == 4, c("Measuring ", w, " voices in quiet rooms")).when(k == 5, title).otherwise(c("Something else entirely about ", w, " rivers and hills"))
+    people = lambda n, s: F.array(*[c(x, " ", w, s) for x in ("Ann", "Bob", "Cyd", "Dia")[:n]])
+    authors, others = F.when(k == 4, people(2, "s")).otherwise(people(4, "s")), F.when(k == 3, people(4, "other")).when(k == 4, people(2, "s")).otherwise(people(4, "s"))
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 8).alias("ord"), title.alias("title"), authors.alias("authors"), found.alias("found"), others.alias("found_authors"), F.when(k == 1, "10.48550/x").otherwise("10.1/x").alias("doi"))
+    return op.tree_candidates(rows).select("id", "kind")
+
+
 _TYPES = ("posted-content", "journal-article", "proceedings-article", "dataset")
 _PLACES = ("Interspeech 2025", "Proceedings of the Small Workshop on Sounds", "Computer Speech & Language", "")
 _CR = f"""c AS (SELECT id, place AS ord, ['posted-content', 'journal-article', 'proceedings-article', 'dataset'][l_partkey % 4 + 1] AS type, ['Interspeech 2025', 'Proceedings of the Small Workshop on Sounds', 'Computer Speech & Language', ''][l_suppkey % 4 + 1] AS container, doi FROM h),
