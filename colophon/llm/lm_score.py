@@ -36,7 +36,7 @@ from colophon.llm._common import discard, materialise
 CLASSES, GROUPS, BEFORE, PAIRS, UPDATES, STEP, PRIOR, DRAW, MIXES, PARTS = 128, 32, 4, 2048, 16, 0.4, 10.0, 30.0, 4, 8
 END, START = CLASSES - 2, CLASSES - 1
 #: Characters after which a chunk ends; words of a block of which one update of the mixtures learns.
-CHUNK, BLOCK = 2_000_000, 1 << 14
+CHUNK, BLOCK = 1_400_000, 1 << 14
 #: Cells of the count tables: class triples; groups after the hashed word before; after that two before.
 TABLES = (CLASSES**3, CLASSES * BEFORE * CLASSES * GROUPS, CLASSES * BEFORE * CLASSES * GROUPS)
 
