@@ -32,6 +32,12 @@ def state(status: Column, publishable: Column) -> Column:
     return F.when(F.coalesce(publishable, F.lit(False)), status).otherwise("unchecked")
 
 
+def publishable(status: Column, verified: Column, evidence_url: Column, check_url: Column) -> Column:
+    """FIL-09: a second read confirmed or corrected the record, and a claimed venue has an address that shows it."""
+    filled = lambda c: F.coalesce(c, F.lit("")) != ""
+    return F.coalesce(verified.isin("confirmed", "corrected"), F.lit(False)) & (~status.isin("published", "accepted") | filled(evidence_url) | filled(check_url))
+
+
 def ranking(records: DataFrame) -> DataFrame:
     """AG-26, SO-07: published, accepted and all entries of each venue, and its years as text."""
     per_year = records.groupBy("venue", F.substring("date", 1, 4).alias("year"), "status").agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colophon.functions import geo, venue_text
 from colophon.functions import textnorm as T
-from colophon.operators import affiliations, aliases, canon, venues
+from colophon.operators import affiliations, aliases, canon, gates, venues
 from colophon.operators import geo as places
 from colophon.plans.assembly import _at
 from colophon.plans.registry import query
@@ -162,3 +162,30 @@ def numbered_addresses(spark: SparkSession, d: str) -> DataFrame:
     """FN-13, FN-12: addresses of many papers in eight forms."""
     n = F.concat(_text(1901 + F.col("o_custkey") % 700), F.lit("."), F.lpad(_text(F.col("o_orderkey") % 100000), 5, "0"))
     return table(spark, d, "orders").select("o_orderkey", T.paper_of_url(F.replace(_at(_ADDRESS, F.col("o_orderkey")), F.lit("{N}"), n)).alias("paper"))
+
+
+_REG = """r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 50 = 0 THEN 'Bad Id' WHEN o_orderkey % 50 = 1 THEN 'twice-' || (o_custkey % 3) ELSE 'id-' || o_orderkey END AS id, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS name, CASE o_orderkey % 9 WHEN 0 THEN '' ELSE o_orderpriority END AS kind,
+  ['2024-05', '2024-05-06', '', '2024', 'May 2024'][o_orderkey % 5 + 1] AS date, ['https://x.org', 'http://x.org', '', 'ftp://x.org', NULL][o_orderkey % 5 + 1] AS url FROM orders)"""
+
+
+@query("registry_gates", f"""WITH {_REG}, v AS (SELECT 'entry: missing name' AS gate FROM r WHERE name IS NULL UNION ALL SELECT 'entry: missing kind' FROM r WHERE kind = '' UNION ALL SELECT 'entry: duplicate id' FROM r GROUP BY id HAVING count(*) > 1
+  UNION ALL SELECT 'entry: id form' FROM r WHERE id = 'Bad Id' UNION ALL SELECT 'entry: date form' FROM r WHERE date IN ('2024', 'May 2024') UNION ALL SELECT 'entry: url scheme' FROM r WHERE url LIKE 'ftp%') SELECT gate, count(*) AS n FROM v GROUP BY 1""")
+def registry_gates(spark: SparkSession, d: str) -> DataFrame:
+    """GT-01: each gate of a registry: required keys, unique ids, forms of ids, dates and addresses."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    ident = F.when(k % 50 == 0, "Bad Id").when(k % 50 == 1, F.concat(F.lit("twice-"), _text(c % 3))).otherwise(F.concat(F.lit("id-"), _text(k)))
+    rows = table(spark, d, "orders").select(
+        ident.alias("id"), F.when(k % 7 != 0, F.col("o_orderstatus")).alias("name"), F.when(k % 9 == 0, "").otherwise(F.col("o_orderpriority")).alias("kind"),
+        _at(("2024-05", "2024-05-06", "", "2024", "May 2024"), k).alias("date"), _at(("https://x.org", "http://x.org", "", "ftp://x.org", None), k).alias("url"),
+    )
+    return gates.union(gates.registry_gates(rows, "entry", ["name", "kind"], date="date", url="url")).groupBy("gate").agg(F.count("*").alias("n"))
+
+
+@query("counted_claims", "SELECT CASE WHEN o_custkey % 4 IN (0, 1) AND NOT (o_orderstatus IN ('F', 'P') AND o_orderkey % 3 = 0) THEN CASE o_orderstatus WHEN 'F' THEN 'published' WHEN 'P' THEN 'accepted' ELSE 'preprint' END ELSE 'unchecked' END AS state, count(*) AS n FROM orders GROUP BY 1")
+def counted_claims(spark: SparkSession, d: str) -> DataFrame:
+    """FIL-09, AG-25: venue records count if a second read confirmed or corrected them and, if they claim a venue, there is an address to show."""
+    k, s = F.col("o_orderkey"), F.col("o_orderstatus")
+    status = F.when(s == "F", "published").when(s == "P", "accepted").otherwise("preprint")
+    rows = table(spark, d, "orders").select(status.alias("status"), _at(("confirmed", "corrected", "cannot_verify", None), F.col("o_custkey")).alias("verified"), F.when(k % 3 != 0, "https://x.org").alias("evidence_url"), F.lit("").alias("check_url"))
+    shown = venues.publishable(F.col("status"), F.col("verified"), F.col("evidence_url"), F.col("check_url"))
+    return rows.groupBy(venues.state(F.col("status"), shown).alias("state")).agg(F.count("*").alias("n"))
