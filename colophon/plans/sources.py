@@ -81,3 +81,11 @@ def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """ST-07: hourly counts of each event type that the watermark has closed."""
     return _streamed(spark, d, crawl.window_counts, "windows").withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("stream_sessions", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+ s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+ SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """ST-07: the sessions of each user that the watermark has closed."""
+    return _streamed(spark, d, crawl.session_counts, "sessions").withColumn("start", F.col("start").cast("timestamp_ntz"))

@@ -59,3 +59,9 @@ def window_counts(stream: DataFrame, width: str = "1 hour", slide: str | None =
     w = F.window("ts", width, slide) if slide else F.window("ts", width)
     timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
     return timed.groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
+
+
+def session_counts(stream: DataFrame, by: str = "user_id", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """ST-07 (an extension): runs of a key's events with gaps below `gap`, closed after the lateness."""
+    timed = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return timed.groupBy(by, F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select(by, F.col("w.start").alias("start"), "n")
