@@ -90,7 +90,7 @@ def hidden_instructions(spark: SparkSession, d: str) -> DataFrame:
     """FIL-18: each of ten patterns, in the messages' texts, and four phrases that only look alike."""
     m = table(spark, d, "conversations")
     phrase = _at(_HIDDEN, F.col("conv_id") + F.col("turn"))
-    rows = m.select("conv_id", "turn", mail.injection_hits(F.concat("text", F.lit(". "), phrase, F.lit(". "), "text")).alias("hits"))
+    rows = m.select("conv_id", "turn", mail.injection_hits(F.concat("text", F.lit(".\n"), phrase, F.lit(".\n"), "text")).alias("hits"))
     return rows.where(F.size("hits") > 0).select("conv_id", "turn", F.array_join("hits", "|").alias("hits"))
 
 
