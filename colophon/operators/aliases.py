@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colophon.functions import textnorm as T
 from colophon.operators.graph import reached
+from colophon.sources.tables import many
 
 #: Scores at the bounds of a scale, which don't count as evidence.
 BOUNDS = (0.0, 1.0, 100.0)
@@ -44,7 +45,7 @@ def evidence_edges(members: DataFrame) -> DataFrame:
     and metrics.
     """
     right = members.select("group", "model", "value", F.col("member").alias("b"), F.col("paper").alias("_p"), F.col("metric").alias("_m"))
-    pairs = members.where("value is not null").join(right, ["group", "model", "value"]).where((F.col("member") < F.col("b")) & (F.col("paper") != F.col("_p")) & (F.col("metric") != F.col("_m")))
+    pairs = members.where("value is not null").join(many(right), ["group", "model", "value"]).where((F.col("member") < F.col("b")) & (F.col("paper") != F.col("_p")) & (F.col("metric") != F.col("_m")))
     inner = F.when(~F.col("value").isin(*BOUNDS), F.col("value"))
     counts = pairs.groupBy("group", F.col("member").alias("a"), "b").agg(F.count_distinct("model").alias("n"), F.count_distinct(inner).alias("v"))
     return counts.where("n >= 3 and v >= 3").select("group", "a", "b")
@@ -56,7 +57,7 @@ def connectivity(members: DataFrame) -> DataFrame:
 
 
 def _keyed(cells: DataFrame, assigned: DataFrame) -> DataFrame:
-    named = cells.join(assigned.select("fp", "group"), "fp", "left")
+    named = cells.join(many(assigned.select("fp", "group")), "fp", "left")
     return named.withColumn("key", F.coalesce(F.concat(F.lit("alias:"), "group"), F.concat(F.lit("raw:"), "metric")))
 
 
@@ -92,7 +93,7 @@ def registry_violations(groups: DataFrame, cells: DataFrame) -> DataFrame:
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     m = groups.select("id", "benchmark", F.posexplode("members").alias("member", "m")).select("id", "benchmark", "member", "m.*")
     ids = m.select("id", "benchmark", "member", "metric", "paper", "source_urls", F.explode("cell_ids").alias("fp"))
-    hit = ids.join(cells.select("fp", "ord", F.col("benchmark").alias("_b"), F.col("metric").alias("_m"), "model", "value", "source_url"), "fp")
+    hit = ids.join(many(cells.select("fp", "ord", F.col("benchmark").alias("_b"), F.col("metric").alias("_m"), "model", "value", "source_url")), "fp")
     numeric = hit.select(F.col("id").alias("group"), "member", "paper", "metric", "model", T.number(F.col("value").cast("string")).alias("value"))
     linked = connectivity(numeric).withColumnRenamed("group", "id")
     return (
@@ -100,7 +101,7 @@ def registry_violations(groups: DataFrame, cells: DataFrame) -> DataFrame:
         .unionByName(out(groups.groupBy("id").count().where("count > 1"), "duplicate group id", none))
         .unionByName(out(m.where(empty("metric") | empty("paper") | empty("locator") | ~T.paper_of_url(F.col("evidence_url")).eqNullSafe(F.col("paper"))), "missing source evidence", F.col("metric")))
         .unionByName(out(m.where((F.coalesce(F.size("source_urls"), F.lit(0)) < 1) | F.exists("source_urls", lambda u: ~T.paper_of_url(u).eqNullSafe(F.col("paper")))), "paper identity mismatch", F.col("metric")))
-        .unionByName(out(ids.join(cells, "fp", "left_anti"), "stale reviewed observation", F.col("fp")))
+        .unionByName(out(ids.join(many(cells.select("fp")), "fp", "left_anti"), "stale reviewed observation", F.col("fp")))
         .unionByName(out(ids.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n > 1"), "assigned more than once", F.col("fp")))
         .unionByName(out(hit.where((F.col("benchmark") != F.col("_b")) | (F.col("metric") != F.col("_m")) | ~F.array_contains("source_urls", F.col("source_url"))), "source scope mismatch", F.col("fp")))
         .unionByName(out(hit.groupBy("id", "model").agg(F.count_distinct("value").alias("n")).where("n > 1"), "contradictory model values", F.col("model")))

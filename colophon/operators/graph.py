@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.sources.tables import scratch
+from colophon.sources.tables import many, scratch
 
 
 def resolve_chains(nodes: DataFrame) -> DataFrame:
@@ -48,9 +48,9 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     for _ in range(most):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(many(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
-        near = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = large.join(many(below), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now, _ = _written(near.unionByName(below.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
         got = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if got == last:
@@ -70,4 +70,4 @@ def reached(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     # a component that has the least member has it as its root
     per_root = roots.groupBy("root").agg((F.count("*") + 1).alias("n")).select("root.group", "root.member", "n")
     sizes = members.groupBy("group").agg(F.count("*").alias("n_members"), F.min("member").alias("member"))
-    return sizes.join(per_root, ["group", "member"], "left").select("group", "n_members", F.coalesce("n", F.lit(1)).alias("n_reached"))
+    return sizes.join(many(per_root), ["group", "member"], "left").select("group", "n_members", F.coalesce("n", F.lit(1)).alias("n_reached"))
