@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from colophon.functions import textnorm as T
 from colophon.functions import venue_text as V
 from colophon.operators.evidence import PUBLISHED_TYPES, openreview_rank, preferred
+from colophon.sources.tables import many
 
 # Patterns of book titles, journals, containers and venue groups, in the order in which they are tried, with id,
 # short name and (for containers) kind; a Findings volume names its family itself.
@@ -258,7 +259,7 @@ def resolved(entries: DataFrame, records: list[DataFrame]) -> DataFrame:
     quote = F.coalesce(T.first_filled(F.substring("comment", 1, 160)), F.lit("no journal reference, no acceptance note"))
     given = {"status": F.lit("preprint"), "evidence_source": F.lit("arxiv"), "evidence_url": F.concat(F.lit("https://arxiv.org/abs/"), T.or_empty(F.col("paper"))), "evidence_quote": quote, "confidence": F.lit("high")}
     none = F.struct(*[given.get(n, F.lit("")).alias(n) for n in FIELDS], F.lit(False).alias("needs_review"))
-    return entries.join(best, "id", "left").select("id", F.coalesce("r", none).alias("r")).select("id", "r.*")
+    return entries.join(many(best), "id", "left").select("id", F.coalesce("r", none).alias("r")).select("id", "r.*")
 
 
 def family_agreement(records: DataFrame, others: DataFrame) -> DataFrame:
@@ -270,8 +271,8 @@ def family_agreement(records: DataFrame, others: DataFrame) -> DataFrame:
     mine = records.select("id", F.col("evidence_source").alias("used"), F.coalesce(*[T.first_filled(F.col(c)) for c in ("display", "venue_full", "venue_name")], F.lit("")).alias("text"))
     texts = mine.select("text").unionByName(others.select("text")).distinct()
     families = texts.select("text", V.family(F.col("text")).alias("family")).where("family is not null")
-    of = lambda df, name: df.join(families, "text").drop("text").withColumnRenamed("family", name)
-    pairs = of(others.select("id", "source", "text"), "theirs").join(of(mine, "own"), "id")
+    of = lambda df, name: df.join(many(families), "text").drop("text").withColumnRenamed("family", name)
+    pairs = of(others.select("id", "source", "text"), "theirs").join(many(of(mine, "own")), "id")
     # Crossref's records are the publisher's
     pairs = pairs.where(F.when(F.col("source") == "crossref", "publisher").otherwise(F.col("source")) != F.col("used"))
     same = F.col("theirs") == F.col("own")

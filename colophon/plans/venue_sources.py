@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from colophon.operators import venue_records as op
 from colophon.plans.registry import query
-from colophon.sources.tables import table
+from colophon.sources.tables import spread, table
 
 #: Of each form: the text, and id, name, kind, track and display of its record. {Y} is a year, {W} a name.
 ACL = "Association for Computational Linguistics"
@@ -84,10 +84,10 @@ def _year(n: Column) -> Column:
     return (2011 + n % 13).cast("string")
 
 
-def _filled(forms: tuple, col: int, n: Column, shift: int = 0) -> Column:
-    """The form's text of each row, with its year and name."""
+def _filled(forms: tuple, col: int, n: Column, shift: int = 0, letters: str = "abcdefghij") -> Column:
+    """The form's text of each row, with its year and name, whose letters stand for the number's digits."""
     text = F.element_at(F.array(*[F.lit(f[col]) for f in forms]), ((n + shift) % len(forms) + 1).cast("int"))
-    name = F.initcap(F.translate(n.cast("string"), "0123456789", "abcdefghij"))
+    name = F.initcap(F.translate(n.cast("string"), "0123456789", letters))
     return F.replace(F.replace(text, F.lit("{Y}"), _year(n)), F.lit("{W}"), name)
 
 
@@ -103,7 +103,7 @@ def _expected(forms: tuple, first: int, shift: int = 0) -> str:
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select(F.col("p_partkey").alias("id"))
+    return spread(table(spark, d, "part").select(F.col("p_partkey").alias("id")), "id")
 
 
 def _with_second(hits: DataFrame, **other: Column) -> DataFrame:
@@ -197,6 +197,8 @@ def venue_records(spark: SparkSession, d: str) -> DataFrame:
 
 _FAMILIES = (("Proceedings of Interspeech {Y}", "interspeech"), ("Conference on Acoustics, Speech and Signal Processing of {W}", "icassp"), ("The {W} Gathering", ""), ("Neural Information Processing Systems {Y}", "neurips"), (f"Transactions of the {ACL}, {{W}}", "tacl"), ("EMNLP {Y} ({W})", "emnlp"))
 _OTHERS = ("acl_anthology", "crossref", "openreview", "dblp", "semantic_scholar", "openalex", "arxiv_journal_ref")
+#: Letters for digits that spell no family: with a to j, 89208 is "ijcai".
+_NEUTRAL = "bfghkqvwxz"
 _USED = ("acl_anthology", "publisher", "openreview", "dblp", "arxiv_comment")
 _LIST = lambda x: "[" + ", ".join(f"'{v}'" for v in x) + "]"
 
@@ -209,10 +211,11 @@ def family_agreement(spark: SparkSession, d: str) -> DataFrame:
     """JN-14: seven other sources against the record's family."""
     n, no = F.col("id"), F.lit("")
     parts = _parts(spark, d)
+    text = lambda forms: _filled(forms, 0, n, letters=_NEUTRAL)
     at = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
-    records = parts.select("id", at(_USED, n % 5).alias("evidence_source"), F.when(n % 2 == 0, _filled(_FAMILIES, 0, n)).otherwise("").alias("display"), _filled(_FAMILIES, 0, n).alias("venue_full"), no.alias("venue_name"))
+    records = parts.select("id", at(_USED, n % 5).alias("evidence_source"), F.when(n % 2 == 0, text(_FAMILIES)).otherwise("").alias("display"), text(_FAMILIES).alias("venue_full"), no.alias("venue_name"))
     others = parts.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(6)))).where("(id + s) % 3 <> 0")
     shift = F.col("s") * (n % 4)
-    others = others.select("id", at(_OTHERS, F.col("s")).alias("source"), F.element_at(F.array(*[_filled(((t, f),), 0, n) for t, f in _FAMILIES]), ((n + shift) % 6 + 1).cast("int")).alias("text"))
+    others = others.select("id", at(_OTHERS, F.col("s")).alias("source"), F.element_at(F.array(*[text(((t, f),)) for t, f in _FAMILIES]), ((n + shift) % 6 + 1).cast("int")).alias("text"))
     found = op.family_agreement(records, others)
     return found.select("id", F.array_join("agree", ",").alias("agree"), F.array_join("disagree", ",").alias("disagree"))

@@ -10,6 +10,13 @@ def plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["alias_gates"])
+@pytest.mark.parametrize("name", ["alias_gates", "family_agreement"])
 def test_growing_sides_are_not_broadcast(spark, small, name):
     assert "Broadcast" not in plan(registry.queries()[name](spark, small))
+
+
+def test_names_of_parts_spell_no_family(spark, tmp_path):
+    """Number 89208, in letters, was "ijcai"; the SQL knows no family of such a name."""
+    spark.createDataFrame([(89208,), (289208,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["id"] for r in registry.queries()["family_agreement"](spark, str(tmp_path)).collect()}
+    assert got == {89208}  # 89208 % 6 is 0, of Interspeech; 289208 % 6 is 2, of no family
