@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.sources.tables import many, scratch
+from colophon.sources.tables import many, written
 
 
 def resolve_chains(nodes: DataFrame) -> DataFrame:
@@ -30,12 +30,6 @@ def resolve_chains(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """node, root: for each node of the edges (a, b) the least node that it is connected with; nodes are of any type with an order.
 
@@ -43,7 +37,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     neighbours go to the least of these. Each step is written to the shared folder, so that the plan doesn't grow and a lost
     executor costs one step; the steps grow with the logarithm of a chain's length, not with the length.
     """
-    now, _ = _written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     last = None
     for _ in range(most):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -51,7 +45,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = both.join(many(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(many(below), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now, _ = _written(near.unionByName(below.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
+        now = written(near.unionByName(below.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "stars")
         got = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if got == last:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -2,7 +2,9 @@
 
 import pytest
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from colophon.operators import match
 from colophon.plans import registry
 
 
@@ -27,3 +29,18 @@ def test_citation_scores_are_those_of_the_tails(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r["tail"], r["reports_score"], r["n"]) for r in registry.queries()["citation_scores"](spark, str(tmp_path)).collect()}
     assert got == {("medieval", 0, 1), ("nothing", 0, 2)}
+
+
+def test_copies_meet_once_and_names_alone_make_no_pairs(spark):
+    """Texts with the same three names but other titles meet nowhere; copies are one class; a tie goes to the least record."""
+    words = "amber basalt cedar delta ember fjord garnet harbor indigo jasper kernel lagoon".split()
+    people = ["Ann Aster", "Bob Birch", "Cyd Cedar"]
+    a = spark.createDataFrame([(k, " ".join(words[:6]) + "!" * k, people) for k in range(1, 4)], "id long, title string, authors array<string>")
+    b = spark.createDataFrame([(k, " ".join(words[6:]), people) for k in range(10, 30)] + [(k, " ".join(words[:7]), people) for k in (42, 41, 43)], "rec long, rec_title string, rec_authors array<string>")
+    one = match.prepared(b, "rec_title", "rec_authors", "b_")
+    often = one.select(F.explode("b_tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    ours = match._keys(match.prepared(a, "title", "authors", "a_"), "id", "a_", often)
+    assert ours.join(match._keys(one.where("rec < 40"), "rec", "b_", often), "k").count() == 0
+    assert ours.join(match._keys(one.where("rec > 40"), "rec", "b_", often), "k").count() > 0
+    got = {r["id"]: (r["rec"], r["kind"], round(r["score"], 6)) for r in match.best_matches(a, b).collect()}
+    assert got == {k: (41, "fuzzy", 1.0) for k in range(1, 4)}
