@@ -119,7 +119,22 @@ def distinctive(name: Column) -> Column:
 
 
 def quote_of(name: Column, page: Column, around: int = 90) -> Column:
-    """FN-38: the first place of a page that has the name (a hyphen may be a space or nothing), with what stands around it; '' of none."""
+    """FN-38: the first place of a page that has the name (a hyphen may be a space or nothing), with what stands around it; '' of none.
+
+    The page is split at the first name, and the quote is taken from a window around it: a pattern that begins with what stands
+    before would try that much at every place of the page.
+    """
     quoted = F.regexp_replace(F.regexp_replace(F.lower(F.trim(name)), r"([^a-z0-9\s\-])", r"\\$1"), "-", "[- ]?")
     pattern = F.concat(F.lit(f"(?i)(.{{0,{around}}}(?<![a-z0-9])(?:"), quoted, F.lit(f")(?![a-z0-9]).{{0,{around}}})"))
-    return F.call_function("regexp_extract", T.squeeze(page), pattern, F.lit(1))
+    first = F.concat(F.lit("(?i)(?<![a-z0-9])(?:"), quoted, F.lit(")(?![a-z0-9])"))
+
+    def quote(flat: Column, parts: Column) -> Column:
+        before = parts[0]
+        # a dot stops at line ends that squeeze leaves, so what is before one can't belong to the quote
+        near = F.regexp_replace(F.right(before, F.lit(around)), r"(?s)^.*[\n\r\u0085\u2028\u2029]", "")
+        behind = F.substr(flat, F.length(before) + 1, F.length(name) + 2 * around + 1)
+        return F.when(F.size(parts) < 2, "").otherwise(F.call_function("regexp_extract", F.concat(near, behind), pattern, F.lit(1)))
+
+    flat = T.squeeze(page)
+    cells = F.transform(F.array(flat), lambda x: F.struct(x.alias("flat"), F.split(x, first, 2).alias("parts")))
+    return F.transform(cells, lambda c: quote(c["flat"], c["parts"]))[0]

@@ -1,9 +1,12 @@
 """Steps that must not grow faster than their input: what is broadcast, how pairs are met, what a task holds."""
 
+import time
+
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colophon.functions import venue_text
 from colophon.operators import match
 from colophon.plans import registry
 
@@ -44,3 +47,19 @@ def test_copies_meet_once_and_names_alone_make_no_pairs(spark):
     assert ours.join(match._keys(one.where("rec > 40"), "rec", "b_", often), "k").count() > 0
     got = {r["id"]: (r["rec"], r["kind"], round(r["score"], 6)) for r in match.best_matches(a, b).collect()}
     assert got == {k: (41, "fuzzy", 1.0) for k in range(1, 4)}
+
+
+def test_quotes_are_those_of_the_whole_pattern(spark):
+    """Of pages of all kinds the same quote as by one pattern, and of a long page without the name without trying it at each place."""
+    end, odd = "\u2028", "\U0001f600"
+    pages = ["", "the", "The end", "other theory lathe", "lathe " * 30 + "the end", "x" * 89 + " the cat and the dog", "a the b the c" + " d" * 90, "the-the\nthe" + "y" * 200, f"{odd * 100} the {odd * 100}", f"a{end}the cat{end}the"]
+    pages += [f"{'the' * k}{end}{'z' * k} THE {'w ' * k}the" for k in (1, 29, 30, 31, 88, 89, 90, 91, 92)] + [f"{'q' * k}the {'r ' * k} the, {'the' * 61}" for k in range(86, 94)] + [None]
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "id int, page string")
+    for name in ("the", "w-the", "c++ the"):
+        quoted = name.replace("+", r"\\+").replace("-", "[- ]?")
+        whole = F.expr(f"regexp_extract(trim(regexp_replace(coalesce(page, ''), '\\\\s+', ' ')), '(?i)(.{{0,90}}(?<![a-z0-9])(?:{quoted})(?![a-z0-9]).{{0,90}})', 1)")
+        assert df.where(whole != venue_text.quote_of(F.lit(name), F.col("page"))).collect() == []
+    long = spark.range(1).select(F.repeat(F.lit("Der Abend ist lang. "), 200_000).alias("page"))
+    began = time.time()
+    assert long.select(venue_text.quote_of(F.lit("the"), F.col("page")).alias("q")).first()["q"] == ""
+    assert time.time() - began < 5
