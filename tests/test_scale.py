@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions import venue_text
-from colophon.operators import match
+from colophon.operators import canon, match
 from colophon.plans import registry
 
 
@@ -63,3 +63,8 @@ def test_quotes_are_those_of_the_whole_pattern(spark):
     began = time.time()
     assert long.select(venue_text.quote_of(F.lit("the"), F.col("page")).alias("q")).first()["q"] == ""
     assert time.time() - began < 5
+
+
+def test_values_between_the_bounds_are_not_grouped(spark):
+    df = spark.createDataFrame([("b", "m", "score", float(v), "p") for v in range(100)], "benchmark string, model string, metric string, value double, source string")
+    assert "<= 10.0" in plan(canon.rescaled_metrics(df)).replace("value", "").split("HashAggregate")[-1]
