@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from colophon.functions import venue_text
 from colophon.operators import canon, match
 from colophon.plans import registry
+from colophon.sources import tables
 
 
 def plan(df: DataFrame) -> str:
@@ -68,3 +69,10 @@ def test_quotes_are_those_of_the_whole_pattern(spark):
 def test_values_between_the_bounds_are_not_grouped(spark):
     df = spark.createDataFrame([("b", "m", "score", float(v), "p") for v in range(100)], "benchmark string, model string, metric string, value double, source string")
     assert "<= 10.0" in plan(canon.rescaled_metrics(df)).replace("value", "").split("HashAggregate")[-1]
+
+
+@pytest.mark.parametrize("name", ["slots_by_group", "disagreements"])
+def test_tasks_hold_a_bounded_number_of_rows(spark, small, name):
+    assert "REPARTITION_BY_NUM" in plan(registry.queries()[name](spark, small))
+    df = tables.by_rows(spark.range(1000), 1000, "id", most=100)
+    assert df.rdd.getNumPartitions() == 10
