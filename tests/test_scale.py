@@ -76,3 +76,7 @@ def test_tasks_hold_a_bounded_number_of_rows(spark, small, name):
     assert "REPARTITION_BY_NUM" in plan(registry.queries()[name](spark, small))
     df = tables.by_rows(spark.range(1000), 1000, "id", most=100)
     assert df.rdd.getNumPartitions() == 10
+
+
+def test_title_matches_are_spread(spark, small):
+    assert "REPARTITION_BY_NUM" in plan(registry.queries()["tree_candidates"](spark, small))
