@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from colophon.functions import geo as G
 from colophon.operators import aliases as A
 from colophon.operators import canon, corrections, gates, geo, graph, pool, stats, venues
+from colophon.plans import registry as plans
 from colophon.sources import parsers as P
 from colophon.sources import sinks
 from colophon.streaming import crawl
@@ -233,3 +234,23 @@ def test_outcomes(spark):
     df = spark.createDataFrame(rows, "k boolean, v string, s string, f boolean")
     got = [r["o"] for r in df.select(crawl.outcome(F.col("k"), F.col("v"), F.col("s"), F.col("f")).alias("o")).collect()]
     assert got == ["admitted", "under review", "under review", "already catalogued", "not admitted"]
+
+
+def test_all_observations_that_disagree_are_shown(spark):
+    """The values between the least and the largest too, equal ones of two sources, and a missing one; cells of one value are none."""
+    seen = [("MMAU", "omni", v, s) for s, v in enumerate([53.92, 59.76, 68.9, 70.6, 59.76, None])]
+    seen += [(None, "omni", 1.0, 6), (None, "omni", 2.0, 7), ("MMAU", "other", 3.0, 8), ("MMAU", "other", 3.0, 9), ("MMAU", "third", 4.0, 10), ("MMAU", "third", None, 11), ("MMAU", "blank", None, 12)]
+    got = stats.disagreements(spark.createDataFrame([(b, m, "acc", v, s) for b, m, v, s in seen], "benchmark string, model string, metric string, value double, source int"))
+    rows = sorted((r["source"], r["value"], r["n"], r["n_values"], r["low"], r["high"]) for r in got.collect())
+    assert rows == [(s, v, 6, 4, 53.92, 70.6) for _, _, v, s in seen[:6]] + [(6, 1.0, 2, 2, 1.0, 2.0), (7, 2.0, 2, 2, 1.0, 2.0)]
+
+
+def test_result_of_disagreements_has_all_their_observations(spark, tmp_path):
+    """Lines of two brands through the query: of the cell with values 1, 2, 3 and 2 all four lines, each with its source."""
+    spark.createDataFrame([(1, "b1"), (2, "b2")], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1, "s1")], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    lines = [(k, p, 1, 1, q, 0.0, 0.0, 0.0, "A", "F") for k, (p, q) in enumerate([(1, 1.0), (1, 2.0), (1, 3.0), (1, 2.0), (2, 5.0), (2, 5.0)])]
+    kind = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, kind).withColumn("l_shipdate", F.lit("1995-01-01").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = plans.queries()["disagreements"](spark, str(tmp_path)).collect()
+    assert sorted((r["source"], r["value"], r["line"], r["n"], r["n_values"], r["low"], r["high"]) for r in got) == [(k, v, 1, 4, 3, 1.0, 3.0) for k, v in enumerate([1.0, 2.0, 3.0, 2.0])]

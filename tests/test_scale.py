@@ -80,3 +80,7 @@ def test_tasks_hold_a_bounded_number_of_rows(spark, small, name):
 
 def test_title_matches_are_spread(spark, small):
     assert "REPARTITION_BY_NUM" in plan(registry.queries()["tree_candidates"](spark, small))
+
+
+def test_parts_of_disagreeing_cells_are_not_broadcast(spark, small):
+    assert "SortMergeJoin [l_partkey" in plan(registry.queries()["disagreements"](spark, small))
